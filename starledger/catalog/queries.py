@@ -345,7 +345,7 @@ def model_comparison(spark: SparkSession, d: str) -> DataFrame:
 
 def feature_importance(spark: SparkSession, d: str) -> DataFrame:
     shared = Shared(spark, d)
-    return training.importance_table(spark, shared.all_trained(), shared.features())
+    return training.importance_table(spark, shared.all_trained(), features.slot_names(shared.features()))
 
 
 def importance_for_model(spark: SparkSession, d: str) -> DataFrame:

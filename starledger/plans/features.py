@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from starledger.functions.events import epoch_to_timestamp, time_parts
 from starledger.functions.tags import main_tag, tag_count
+from starledger.operators.complete import complete_rows
 from starledger.operators.dedupe import keep_latest
 from starledger.operators.joins import fits_broadcast, lookup_join
 from starledger.plans.gold import item_totals
@@ -73,8 +74,8 @@ def features_base(ratings: DataFrame, items: DataFrame, stats_from: DataFrame |
     item columns arrive in a single join. The two statistics tables are written once:
     their sizes decide how to join, and their counts say which keys are hot.
     """
-    rated = ratings.select("user_id", "item_id", "rating", "ts").dropna()
-    base = rated if stats_from is None else stats_from.select("user_id", "item_id", "rating", "ts").dropna()
+    rated = complete_rows(ratings.select("user_id", "item_id", "rating", "ts"))
+    base = rated if stats_from is None else complete_rows(stats_from.select(*rated.columns))
     users = stage(user_features(base), "user-features")
     item_columns = items.select(
         "item_id",
@@ -103,7 +104,7 @@ def features_base(ratings: DataFrame, items: DataFrame, stats_from: DataFrame |
         small=fits_broadcast(users),
     )
     dated = joined.withColumns(time_parts(epoch_to_timestamp(F.col("ts"))))
-    return dated.select(*BASE_COLUMNS).dropna()
+    return complete_rows(dated.select(*BASE_COLUMNS))
 
 
 def encoder() -> Pipeline:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starledger.operators.complete import complete_rows
 from starledger.operators.dedupe import keep_greatest, keep_latest
 
 MIN_RATINGS = 30
@@ -28,52 +29,63 @@ def _mean(total: str, count: str, digits: int = 2):
     return F.round(F.try_divide(F.col(total), F.col(count)), digits)
 
 
-def most_rated(ratings: DataFrame, items: DataFrame) -> DataFrame:
-    """Rating count and mean of every rated item, most rated first.
+def rank_items(totals: DataFrame, items: DataFrame) -> DataFrame:
+    """Count, mean, title and tags of every rated item.
 
     Both sides are one row per item, so the join needs no hint and no salt.
     """
-    totals = item_totals(ratings).join(items.select("item_id", "title", "tags"), "item_id")
-    return totals.select(
+    titled = totals.join(items.select("item_id", "title", "tags"), "item_id")
+    return titled.select(
         "item_id", "title", "tags", "rating_count", _mean("rating_sum", "rated").alias("avg_rating")
-    ).orderBy(F.desc("rating_count"), "item_id")
+    )
+
+
+def most_rated(ratings: DataFrame, items: DataFrame) -> DataFrame:
+    """The item ranking, most rated first."""
+    return rank_items(item_totals(ratings), items).orderBy(F.desc("rating_count"), "item_id")
+
+
+def with_enough_ratings(ranking: DataFrame, min_ratings: int = MIN_RATINGS) -> DataFrame:
+    return ranking.filter(F.col("rating_count") >= F.lit(min_ratings))
 
 
 def top_rated(ranking: DataFrame, min_ratings: int = MIN_RATINGS) -> DataFrame:
-    """The items of ``most_rated`` with enough ratings, best (rounded) mean first."""
-    return ranking.filter(F.col("rating_count") >= F.lit(min_ratings)).orderBy(
+    """Items with enough ratings, best (rounded) mean first."""
+    return with_enough_ratings(ranking, min_ratings).orderBy(
         F.desc("avg_rating"), F.desc("rating_count"), "item_id"
     )
 
 
-def tag_stats(ratings: DataFrame, items: DataFrame) -> DataFrame:
+def tag_totals(totals: DataFrame, items: DataFrame) -> DataFrame:
     """Rating count and mean per tag. Each rating counts once for every tag of its item."""
-    tagged = (
-        item_totals(ratings)
-        .join(items.select("item_id", "tags_array"), "item_id")
-        .select(F.explode("tags_array").alias("tag"), "rating_count", "rating_sum", "rated")
+    tagged = totals.join(items.select("item_id", "tags_array"), "item_id").select(
+        F.explode("tags_array").alias("tag"), "rating_count", "rating_sum", "rated"
     )
-    return (
-        tagged.groupBy("tag")
-        .agg(
-            F.sum("rating_count").alias("rating_count"),
-            F.sum("rating_sum").alias("rating_sum"),
-            F.sum("rated").alias("rated"),
-        )
-        .select("tag", "rating_count", _mean("rating_sum", "rated").alias("avg_rating"))
-        .orderBy(F.desc("avg_rating"), "tag")
+    summed = tagged.groupBy("tag").agg(
+        F.sum("rating_count").alias("rating_count"),
+        F.sum("rating_sum").alias("rating_sum"),
+        F.sum("rated").alias("rated"),
     )
+    return summed.select("tag", "rating_count", _mean("rating_sum", "rated").alias("avg_rating"))
 
 
-def user_activity(ratings: DataFrame) -> DataFrame:
-    """Rating count and mean per user, most active first."""
-    return (
-        ratings.groupBy("user_id")
-        .agg(F.count(F.lit(1)).alias("rating_count"), F.round(F.avg("rating"), 2).alias("avg_user_rating"))
-        .orderBy(F.desc("rating_count"), "user_id")
+def tag_stats(ratings: DataFrame, items: DataFrame) -> DataFrame:
+    """Tag totals, best mean first."""
+    return tag_totals(item_totals(ratings), items).orderBy(F.desc("avg_rating"), "tag")
+
+
+def user_totals(ratings: DataFrame) -> DataFrame:
+    """Rating count and mean per user."""
+    return ratings.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("rating_count"), F.round(F.avg("rating"), 2).alias("avg_user_rating")
     )
 
 
+def user_activity(ratings: DataFrame) -> DataFrame:
+    """User totals, most active first."""
+    return user_totals(ratings).orderBy(F.desc("rating_count"), "user_id")
+
+
 def model_input(ratings: DataFrame, times_unique: bool = True) -> DataFrame:
     """(user, item, rating) without nulls, one row per pair: its latest rating.
 
@@ -81,7 +93,7 @@ def model_input(ratings: DataFrame, times_unique: bool = True) -> DataFrame:
     any others; the highest rating then settles equal times.
     """
     pair = ["user_id", "item_id"]
-    columns = ratings.select(*pair, "ts", "rating").dropna(subset=[*pair, "rating"])
+    columns = complete_rows(ratings.select(*pair, "ts", "rating"), [*pair, "rating"])
     latest = keep_latest(columns, pair, "ts") if times_unique else keep_greatest(columns, pair, ["ts"])
     return latest.select(*pair, "rating")
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starledger.functions.events import epoch_to_timestamp
 from starledger.functions.tags import split_tags
+from starledger.operators.complete import complete_rows
 from starledger.operators.dedupe import keep_greatest
 from starledger.operators.joins import fits_broadcast, lookup_join
 
@@ -20,33 +21,37 @@ def clean_ratings(bronze: DataFrame) -> DataFrame:
     The time text of bronze is left behind: it follows from ``ts``, and without it the
     de-duplication is a hash aggregate over numbers.
     """
-    complete = bronze.select(*RATING_COLUMNS).dropna()
+    complete = complete_rows(bronze.select(*RATING_COLUMNS))
     return keep_greatest(complete, ["user_id", "item_id", "ts"])
 
 
 def clean_items(items: DataFrame) -> DataFrame:
     """Complete items, one per id, with their tags as an array."""
-    complete = items.select("item_id", "title", "tags").dropna()
+    complete = complete_rows(items.select("item_id", "title", "tags"))
     return keep_greatest(complete, ["item_id"], ["title", "tags"]).withColumn("tags_array", split_tags(F.col("tags")))
 
 
-def enrich(ratings: DataFrame, items: DataFrame, bronze: DataFrame | None = None) -> DataFrame:
+def enrich(
+    ratings: DataFrame, items: DataFrame, key_counts: DataFrame | None = None, small: bool | None = None
+) -> DataFrame:
     """Cleaned ratings with their item's title and tags; unknown items drop out.
 
-    If the items are too many to broadcast, ratings per item are counted to find hot
-    items; ``bronze`` gives those counts without de-duplicating twice.
+    ``key_counts`` and ``small`` are what ``lookup_join`` takes.
     """
-    small = fits_broadcast(items)
-    counts = None
-    if not small and bronze is not None:
-        counts = bronze.dropna(subset=["item_id"]).groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
-    joined = lookup_join(ratings, items, "item_id", "inner", counts, small)
+    joined = lookup_join(ratings, items, "item_id", "inner", key_counts, small)
     return joined.withColumn("rating_datetime", epoch_to_timestamp(F.col("ts"))).select(*ENRICHED_COLUMNS)
 
 
 def build_silver(bronze: DataFrame, items: DataFrame) -> DataFrame:
-    """Bronze ratings and raw items to the enriched ratings table."""
-    return enrich(clean_ratings(bronze), clean_items(items), bronze)
+    """Bronze ratings and raw items to the enriched ratings table.
+
+    The raw items are measured, which saves cleaning them twice. Should they be too
+    many to broadcast, hot items are found in bronze, so nothing is cleaned twice then
+    either: replays only make an item look hotter.
+    """
+    counts = complete_rows(bronze.select("item_id")).groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
+    small = fits_broadcast(items.select("item_id", "title", "tags", F.col("tags").alias("tags_array")))
+    return enrich(clean_ratings(bronze), clean_items(items), counts, small)
 
 
 def items_of(silver: DataFrame) -> DataFrame:

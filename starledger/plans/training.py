@@ -19,9 +19,9 @@ from pyspark.ml.regression import (
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starledger.operators.complete import complete_rows
 from starledger.operators.metrics import regression_metrics
 from starledger.operators.sampling import hash_sample, hash_split
-from starledger.plans.features import slot_names
 from starledger.schemas import COMPARISON_SCHEMA, IMPORTANCE_SCHEMA, RUN_LOG_SCHEMA
 from starledger.session import workspace
 
@@ -62,7 +62,7 @@ def fit_als(train: DataFrame, settings: Mapping[str, object] = ALS_SETTINGS, see
 
 def labelled(features: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(train, test) rows of the feature table, label and vector only."""
-    rows = features.select(*PAIR, "title", F.col("rating").alias("label"), "features").dropna()
+    rows = complete_rows(features.select(*PAIR, "title", F.col("rating").alias("label"), "features"))
     return hash_split(rows, PAIR)
 
 
@@ -108,14 +108,13 @@ def comparison_table(spark: SparkSession, trained: list[Trained]) -> DataFrame:
     return spark.createDataFrame(rows, COMPARISON_SCHEMA).orderBy("rmse", "model_name")
 
 
-def importance_table(spark: SparkSession, trained: list[Trained], features: DataFrame) -> DataFrame:
+def importance_table(spark: SparkSession, trained: list[Trained], slots: list[str]) -> DataFrame:
     """Importance of every vector slot in every tree model, under the slot's name."""
-    names = slot_names(features)
     rows = [
         (t.name, slot, float(weight))
         for t in trained
         if hasattr(t.model, "featureImportances")
-        for slot, weight in zip(names, t.model.featureImportances.toArray(), strict=True)
+        for slot, weight in zip(slots, t.model.featureImportances.toArray(), strict=True)
     ]
     return spark.createDataFrame(rows, IMPORTANCE_SCHEMA).orderBy(
         "model_name", F.desc("importance"), "feature_name"

@@ -105,6 +105,14 @@ def wire_schema(schema: T.StructType) -> T.StructType:
     )
 
 
+def wire_slot(slot: str) -> str:
+    """The wire name of a slot of the feature vector."""
+    vector = "main_tag_vec"
+    if slot.startswith(f"{vector}_"):
+        return WIRE_NAMES[vector] + slot.removeprefix(vector)
+    return WIRE_NAMES.get(slot, slot)
+
+
 def to_wire(df: DataFrame) -> DataFrame:
     """Rename plain columns to their wire names; other columns stay."""
     return df.withColumnsRenamed(WIRE_NAMES)

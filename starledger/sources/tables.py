@@ -19,7 +19,9 @@ def read_table(
     return from_wire((reader.schema(schema) if schema is not None else reader).load(path))
 
 
-def safe_read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+def safe_read_table(
+    spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet"
+) -> DataFrame:
     """Like ``read_table``, but a missing or empty folder is an empty table."""
     try:
         return read_table(spark, path, fmt)
