@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def split_tags(tags: Column, trim: bool = False) -> Column:
     """Text to an array of tags. Empty text gives one empty tag."""
     parts = F.split(tags, r"\|")
-    return F.transform(parts, F.trim) if trim else parts
+    return F.transform(parts, lambda tag: F.trim(tag)) if trim else parts
 
 
 def tag_count(tags_array: Column) -> Column:

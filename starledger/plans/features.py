@@ -71,7 +71,7 @@ def features_base(ratings: DataFrame, items: DataFrame, stats_from: DataFrame |
 
     Ratings are thinned to one per pair before the joins, on four narrow columns. The
     joins repeat no row and depend on the pair alone, so the result is the same. All
-    item columns arrive in a single join. The two statistics tables are written once:
+    item columns arrive in a single join, the last, so no shuffle carries titles. The two statistics tables are written once:
     their sizes decide how to join, and their counts say which keys are hot.
     """
     rated = complete_rows(ratings.select("user_id", "item_id", "rating", "ts"))
@@ -87,22 +87,22 @@ def features_base(ratings: DataFrame, items: DataFrame, stats_from: DataFrame |
     described = stage(item_features(base).join(item_columns, "item_id", "left"), "item-features")
 
     latest = keep_latest(rated, ["user_id", "item_id"], "ts")
-    with_items = lookup_join(
+    with_users = lookup_join(
         latest,
-        described,
-        "item_id",
-        "left",
-        key_counts=described.select("item_id", F.col("item_rating_count").alias("n")),
-        small=fits_broadcast(described),
-    )
-    joined = lookup_join(
-        with_items,
         users,
         "user_id",
         "left",
         key_counts=users.select("user_id", F.col("user_rating_count").alias("n")),
         small=fits_broadcast(users),
     )
+    joined = lookup_join(
+        with_users,
+        described,
+        "item_id",
+        "left",
+        key_counts=described.select("item_id", F.col("item_rating_count").alias("n")),
+        small=fits_broadcast(described),
+    )
     dated = joined.withColumns(time_parts(epoch_to_timestamp(F.col("ts"))))
     return complete_rows(dated.select(*BASE_COLUMNS))
 

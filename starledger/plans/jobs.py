@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from starledger.operators.complete import complete_rows
 from starledger.operators.metrics import histogram, regression_metrics
 from starledger.operators.sampling import hash_split
 from starledger.plans import features, gold, silver, training, views
@@ -122,7 +123,7 @@ def _log(
 
 def run_als(lake: Lake) -> dict[str, float]:
     """Train and score the recommender; save it and log the run."""
-    pairs = lake.read(lake.pairs).select("user_id", "item_id", "rating").dropna()
+    pairs = complete_rows(lake.read(lake.pairs).select("user_id", "item_id", "rating"))
     train, test = hash_split(pairs, training.PAIR)
     model = training.fit_als(train)
     scored = model.transform(test)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from starledger.functions.events import epoch_to_text, parse_event
-from starledger.schemas import EVENT_SCHEMA, from_wire
+from starledger.schemas import EVENT_SCHEMA, from_wire, wire_schema
 
 
 def kafka_options(servers: str, topic: str, **more: str) -> dict[str, str]:
@@ -39,10 +40,17 @@ def parse_events(raw: DataFrame, payload: str = "value") -> DataFrame:
 
 
 def rejected_records(raw: DataFrame, payload: str = "value") -> DataFrame:
-    """The text of records that lack a required field once parsed."""
-    text = F.col(payload).cast("string").alias("record")
-    fields = from_wire(raw.select(text, parse_event(F.col(payload)).alias("event")).select("record", "event.*"))
-    return fields.filter(F.greatest(*[F.col(f.name).isNull() for f in EVENT_SCHEMA])).select("record")
+    """The text of records that lack a required field once parsed.
+
+    The parsed event is named once, as an array of one, so that a filter pushed to the
+    source parses each record once and not once per field.
+    """
+    required = wire_schema(EVENT_SCHEMA).names
+    incomplete = F.exists(
+        F.array(parse_event(F.col(payload))),
+        lambda event: reduce(lambda a, b: a | b, [event[name].isNull() for name in required]),
+    )
+    return raw.filter(incomplete).select(F.col(payload).cast("string").alias("record"))
 
 
 def drop_replays(events: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
