@@ -15,13 +15,22 @@ from starledger.plans import features, silver, training
 from starledger.session import fresh_path, pin, stage
 
 
+# The columns read of each test table. Naming them saves a pass over
+# the file footers to infer the schema.
+COLUMNS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_quantity double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return pin(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return pin(spark).read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def raw_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("o_custkey").alias("user_id"),
         F.col("l_partkey").alias("item_id"),
@@ -105,10 +114,16 @@ class Shared:
             self._built[key] = build()
         return self._built[key]
 
+    def ratings(self) -> DataFrame:
+        def build():
+            return stage(silver_ratings(self.spark, self.sf_dir).select(*silver.RATING_COLUMNS), "silver")
+
+        return self._once("ratings", build)
+
     def base(self) -> DataFrame:
         def build():
-            ratings = stage(silver_ratings(self.spark, self.sf_dir).select(*silver.RATING_COLUMNS), "silver")
-            return stage(features.features_base(ratings, clean_items(self.spark, self.sf_dir)), "features-base")
+            items = clean_items(self.spark, self.sf_dir)
+            return stage(features.features_base(self.ratings(), items), "features-base")
 
         return self._once("base", build)
 

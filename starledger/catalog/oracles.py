@@ -57,6 +57,15 @@ _PARTS = {
         LEFT JOIN user_stats USING (user_id)
         LEFT JOIN item_stats USING (item_id)
         LEFT JOIN main USING (item_id)""",
+    "train_ratings": """
+        SELECT * FROM silver
+        WHERE CAST('0x' || substr(md5(concat_ws('|', user_id, item_id, '42')), 1, 8) AS BIGINT) % 10 < 8""",
+    "train_users": """
+        SELECT user_id, count(*) AS user_rating_count, round(avg(rating), 3) AS user_avg_rating
+        FROM train_ratings GROUP BY user_id""",
+    "train_items": """
+        SELECT item_id, count(*) AS item_rating_count, round(avg(rating), 3) AS item_avg_rating
+        FROM train_ratings GROUP BY item_id""",
     "indexed": """
         SELECT main_tag, row_number() OVER (ORDER BY count(*) DESC, main_tag) - 1 AS tag_index,
                count(*) OVER () AS tag_total
@@ -219,6 +228,12 @@ ORACLES = {
     ),
     "main_genre": _sql([*_SILVER, *_MAIN], _EVERY_COLUMN.format("main")),
     "features_base": _sql(_BASE, _EVERY_COLUMN.format("base")),
+    "features_train_stats": _sql(
+        [*_BASE, "train_ratings", "train_users", "train_items"],
+        """SELECT base.* EXCLUDE (user_rating_count, user_avg_rating, item_rating_count, item_avg_rating),
+                  t.user_rating_count, t.user_avg_rating, i.item_rating_count, i.item_avg_rating
+           FROM base JOIN train_users AS t USING (user_id) JOIN train_items AS i USING (item_id)""",
+    ),
     "index_category": _sql(
         [*_BASE, "indexed"], "SELECT main_tag, CAST(tag_index AS DOUBLE) AS main_tag_index FROM indexed"
     ),

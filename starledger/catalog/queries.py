@@ -12,6 +12,7 @@ from starledger.catalog import inputs
 from starledger.catalog.inputs import Shared
 from starledger.functions.events import encode_event, epoch_to_text, epoch_to_timestamp, time_parts
 from starledger.functions.tags import split_tags, tag_count
+from starledger.operators.joins import lookup_join
 from starledger.operators.metrics import histogram, regression_metrics
 from starledger.operators.sampling import hash_sample, hash_split, with_fold
 from starledger.plans import features, gold, silver, training, views
@@ -227,6 +228,13 @@ def features_base(spark: SparkSession, d: str) -> DataFrame:
     return Shared(spark, d).base()
 
 
+def features_train_stats(spark: SparkSession, d: str) -> DataFrame:
+    """Feature rows whose user and item statistics come from the training split alone."""
+    ratings = Shared(spark, d).ratings()
+    train, _ = hash_split(ratings, PAIR)
+    return features.features_base(ratings, inputs.clean_items(spark, d), stats_from=train)
+
+
 def index_category(spark: SparkSession, d: str) -> DataFrame:
     return Shared(spark, d).features().select("main_tag", "main_tag_index").distinct()
 
@@ -267,9 +275,10 @@ def residuals(spark: SparkSession, d: str) -> DataFrame:
     """Test ratings predicted by their item's mean over the training split."""
     pairs = stage(ml_dataset(spark, d), "pairs")
     train, test = hash_split(pairs, PAIR)
-    means = train.groupBy("item_id").agg(F.avg("rating").alias("predicted_rating"))
-    known = means.join(inputs.clean_items(spark, d).select("item_id", "title"), "item_id")
-    return test.join(known, "item_id").select(
+    means = train.groupBy("item_id").agg(F.avg("rating").alias("predicted_rating"), F.count(F.lit(1)).alias("n"))
+    known = stage(means.join(inputs.clean_items(spark, d).select("item_id", "title"), "item_id"), "item-means")
+    predicted = lookup_join(test, known.drop("n"), "item_id", key_counts=known.select("item_id", "n"))
+    return predicted.select(
         *PAIR,
         "title",
         F.col("rating").alias("actual_rating"),
@@ -412,6 +421,7 @@ QUERIES = {
     "genre_occurrence": genre_occurrence,
     "main_genre": main_genre,
     "features_base": features_base,
+    "features_train_stats": features_train_stats,
     "index_category": index_category,
     "one_hot": one_hot,
     "feature_vector": feature_vector,

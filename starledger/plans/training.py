@@ -27,6 +27,7 @@ from starledger.session import workspace
 
 PAIR = ["user_id", "item_id"]
 PUBLISHED_PREDICTIONS = 5_000
+RATINGS_PER_BLOCK = 2_000_000
 
 # The models compared, and their settings.
 REGRESSORS: dict[str, tuple[type[Estimator], dict[str, object]]] = {
@@ -45,10 +46,15 @@ ALS_SETTINGS: dict[str, object] = {"rank": 10, "maxIter": 10, "regParam": 0.1}
 def fit_als(train: DataFrame, settings: Mapping[str, object] = ALS_SETTINGS, seed: int = 42) -> ALSModel:
     """Non-negative ALS; users or items unseen in training get no prediction.
 
-    The workspace gives ALS a checkpoint folder, so long runs cut their lineage.
+    ALS runs one task per block, ten by default. Here the blocks grow with the ratings
+    and not with the cluster, so any cluster gives the same model. The workspace gives
+    ALS a checkpoint folder, where it cuts its lineage every ten iterations.
     """
     workspace(train.sparkSession)
+    blocks = max(10, -(-train.count() // RATINGS_PER_BLOCK))
     als = ALS(
+        numUserBlocks=blocks,
+        numItemBlocks=blocks,
         userCol="user_id",
         itemCol="item_id",
         ratingCol="rating",
@@ -145,7 +151,7 @@ def run_record(
     rows += [(run_id, run_name, "metric", k, repr(float(v))) for k, v in metrics.items()]
     if artifact:
         rows.append((run_id, run_name, "artifact", "model", artifact))
-    return spark.createDataFrame(rows, RUN_LOG_SCHEMA)
+    return spark.createDataFrame(rows, RUN_LOG_SCHEMA).coalesce(1)
 
 
 def save_model(model: Model, path: str) -> None:
