@@ -104,6 +104,10 @@ _PARTS = {
                CASE WHEN event_type <> 'error'
                     THEN strftime(make_timestamp(ts * 1000000), '%Y-%m-%d %H:%M:%S') END AS rating_datetime
         FROM ev""",
+    "filled": """
+        SELECT coalesce(user_id, -1) AS user_id, coalesce(item_id, -1) AS item_id, coalesce(rating, -1) AS rating,
+               coalesce(ts, -1) AS ts, coalesce(rating_datetime, '') AS rating_datetime
+        FROM parsed""",
 }
 
 _SILVER = ["raw", "items", "clean", "silver"]
@@ -128,14 +132,14 @@ _SILVER_ROWS = """
 _PROFILE_LINE = "SELECT '{0}' AS \"column\", '{1}' AS \"type\", count(*) AS \"rows\", count({0}) AS present FROM raw"
 
 ORACLES = {
-    "stream_ingest": _sql(["ev", "parsed"], _EVERY_COLUMN.format("parsed")),
+    "stream_ingest": _sql(["ev", "parsed", "filled"], _EVERY_COLUMN.format("filled")),
     "stream_restart": _sql(
         ["ev", "parsed"],
         """SELECT count(*) AS records, count(user_id) AS parsed, count(rating) AS rated,
                   CAST(sum(item_id) AS BIGINT) AS item_sum FROM parsed""",
     ),
     "stream_dedup": _sql(["ev"], "SELECT DISTINCT user_id, item_id, ts FROM ev"),
-    "json_parse": _sql(["ev", "parsed"], _EVERY_COLUMN.format("parsed")),
+    "json_parse": _sql(["ev", "parsed", "filled"], _EVERY_COLUMN.format("filled")),
     "json_encode": _sql(["ev", "records"], "SELECT event_id, good AS record FROM records"),
     "ingest_rejects": _sql(
         ["ev", "records"],
@@ -194,7 +198,7 @@ ORACLES = {
     "top_rated": _sql([*_SILVER, "ranking"], "SELECT * FROM ranking WHERE rating_count >= 30"),
     "top_rated_min_n": _sql(
         [*_SILVER, "ranking"],
-        """SELECT * FROM ranking WHERE rating_count >= 20
+        """SELECT * FROM ranking WHERE rating_count >= 40
            ORDER BY avg_rating DESC, rating_count DESC, item_id LIMIT 30""",
     ),
     "genre_stats": _sql(

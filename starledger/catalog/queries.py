@@ -37,7 +37,12 @@ def stream_ingest(spark: SparkSession, d: str) -> DataFrame:
     records = inputs.record_files(spark, d)
     bronze, checkpoint = fresh_path(spark, "bronze"), fresh_path(spark, "bronze-checkpoint")
     _run_ingest(spark, records, bronze, checkpoint)
-    return read_table(spark, bronze)
+    return _gaps_filled(read_table(spark, bronze))
+
+
+def _gaps_filled(bronze: DataFrame) -> DataFrame:
+    """Null fields as -1 or empty text, which every client compares alike."""
+    return bronze.fillna(-1).fillna("")
 
 
 def stream_restart(spark: SparkSession, d: str) -> DataFrame:
@@ -67,7 +72,7 @@ def stream_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 
 def json_parse(spark: SparkSession, d: str) -> DataFrame:
-    return ingest.parse_events(inputs.event_records(spark, d))
+    return _gaps_filled(ingest.parse_events(inputs.event_records(spark, d)))
 
 
 def json_encode(spark: SparkSession, d: str) -> DataFrame:
@@ -170,7 +175,7 @@ def top_rated(spark: SparkSession, d: str) -> DataFrame:
 
 
 def top_rated_min_n(spark: SparkSession, d: str) -> DataFrame:
-    return views.best_rated_items(_most_rated(spark, d), min_ratings=20, n=30)
+    return views.best_rated_items(top_rated(spark, d), min_ratings=40, n=30)
 
 
 def genre_stats(spark: SparkSession, d: str) -> DataFrame:

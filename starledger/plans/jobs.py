@@ -170,7 +170,7 @@ def run_views(lake: Lake, n: int = 15, min_ratings: int = gold.MIN_RATINGS, mode
     show("Most rated items", lake.most_rated, lambda df: views.most_rated_items(df, n), ITEM_RANKING_SCHEMA)
     show(
         "Best rated items",
-        lake.most_rated,
+        lake.top_rated,
         lambda df: views.best_rated_items(df, min_ratings, n),
         ITEM_RANKING_SCHEMA,
     )
