@@ -10,6 +10,15 @@ from pyspark.sql import types as T
 
 from starledger.schemas import ITEM_SCHEMA, from_wire, wire_schema
 
+# The error conditions of Spark and of Delta for a path without a table.
+_NOTHING_THERE = {
+    "PATH_NOT_FOUND",
+    "UNABLE_TO_INFER_SCHEMA",
+    "DELTA_TABLE_NOT_FOUND",
+    "DELTA_PATH_DOES_NOT_EXIST",
+    "DELTA_MISSING_DELTA_TABLE",
+}
+
 
 def read_table(
     spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None
@@ -31,16 +40,6 @@ def safe_read_table(
         raise
 
 
-# Spark's error conditions for a path without a table in it.
-_NOTHING_THERE = {
-    "PATH_NOT_FOUND",
-    "UNABLE_TO_INFER_SCHEMA",
-    "DELTA_TABLE_NOT_FOUND",
-    "DELTA_PATH_DOES_NOT_EXIST",
-    "DELTA_MISSING_DELTA_TABLE",
-}
-
-
 def read_items_csv(spark: SparkSession, path: str) -> DataFrame:
     """The item file: a header row, then id, title and ``A|B|C`` tags.
 

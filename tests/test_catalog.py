@@ -50,6 +50,14 @@ def test_query_without_sql_gives_rows(spark, name):
     assert queries()[name](spark, str(TABLES)).count() > 0
 
 
+def test_results_do_not_depend_on_the_time_zone_found(spark, duck):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    for name in ("time_features", "epoch_to_datetime", "clean_ratings"):
+        df = queries()[name](spark, str(TABLES))
+        want = duck.sql(oracle_sql()[name])
+        assert _rows(df.columns, df.collect()) == _rows(want.columns, want.fetchall())
+
+
 def test_entry(spark):
     assert entry(spark).count() > 0
 

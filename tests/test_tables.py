@@ -60,6 +60,19 @@ def test_workspace_is_the_folder_the_session_names(spark, monkeypatch):
         assert session.workspace(spark) == named
 
 
+def test_a_cluster_must_name_its_folder():
+    class Nameless:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            master = "yarn"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.workspace(Nameless)
+
+
 def test_stage_keeps_rows_schema_and_metadata(spark):
     df = spark.range(3).withColumn("x", F.array(F.lit("a"))).withMetadata("x", {"note": "kept"})
     staged = session.stage(df, "test")
