@@ -76,12 +76,15 @@ def salted_join(
     A slice is a hash of the whole fact row, so a retried task puts it in the same
     place; facts should be free of exact copies. Lookup rows of hot keys are repeated
     once per slice. Facts without a key, which a left join keeps, are spread alike.
+    Without hot keys this is a plain join.
     ``how`` is "inner" or "left".
     """
     spark = facts.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    hot = stage(hot_keys(key_counts, key, parts), "hot-keys")
     # Bounded by hot_keys: fewer than `parts` rows of two numbers.
+    hot = stage(hot_keys(key_counts, key, parts), "hot-keys")
+    if hot.isEmpty():
+        return facts.join(lookup, key, how)
     slices = F.when(F.col(key).isNull(), F.lit(parts)).otherwise(F.coalesce(F.col("_slices"), F.lit(1)))
     sliced = facts.join(F.broadcast(hot), key, "left").withColumn(
         "_slice", F.pmod(F.xxhash64(*facts.columns), slices).cast("int")

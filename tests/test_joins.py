@@ -52,6 +52,14 @@ def test_no_task_gets_a_hot_key_whole(spark, skewed):
             spark.conf.set(key, value)
 
 
+def test_even_keys_are_joined_plainly(spark):
+    facts = spark.range(800).select((F.col("id") % 100).alias("k"), F.col("id").alias("v"))
+    lookup = spark.range(100).select(F.col("id").alias("k"), F.lit(1).alias("w"))
+    joined = salted_join(facts, lookup, "k", "inner", facts.groupBy("k").agg(F.count(F.lit(1)).alias("n")))
+    assert "_slice" not in plan_of(joined)
+    assert joined.count() == 800
+
+
 def test_left_join_spreads_and_keeps_null_keys(spark):
     facts = spark.range(1000).select(F.lit(None).cast("long").alias("k"), F.col("id").alias("v"))
     lookup = spark.createDataFrame([(1, 2)], "k long, w long")
