@@ -10,9 +10,12 @@ from starledger.session import build_session
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session(
-        "tests", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"}
-    )
+    settings = {
+        "spark.sql.shuffle.partitions": "4",
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+    }
+    session = build_session("tests", "local[4]", **settings)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

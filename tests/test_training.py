@@ -8,7 +8,7 @@ from starledger.plans import features, training
 from starledger.session import stage
 
 SMALL = {
-    "Random Forest Regressor": {"numTrees": 4, "maxDepth": 4},
+    "Random Forest Regressor": {"numTrees": 20, "maxDepth": 7},
     "GBT Regressor": {"maxIter": 4, "maxDepth": 3},
 }
 
