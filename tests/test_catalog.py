@@ -64,3 +64,8 @@ def test_entry(spark):
 
 def test_every_oracle_has_its_query():
     assert set(oracle_sql()) <= set(queries())
+
+
+def test_coverage_lists_every_query():
+    text = (Path(__file__).parent.parent / "COVERAGE.md").read_text()
+    assert [name for name in queries() if name not in text] == []
