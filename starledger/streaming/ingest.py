@@ -53,13 +53,22 @@ def rejected_records(raw: DataFrame, payload: str = "value") -> DataFrame:
     return raw.filter(incomplete).select(F.col(payload).cast("string").alias("record"))
 
 
-def drop_replays(events: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
+def drop_replays(
+    events: DataFrame, keys: Sequence[str], event_time: str, delay: str, lanes: int = 16
+) -> DataFrame:
     """Streaming de-duplication with bounded state.
 
+    A stream has no map-side combine before its state, so copies of one record would
+    all meet in one task. They are first reduced within lanes, which follow the source
+    partition, and then across lanes, where a record has at most ``lanes`` copies left
+    per batch.
+
     Spark discards rows later than ``delay``, so this is for consumers of the stream.
     The bronze table keeps every record and cleaning removes all its replays.
     """
-    return events.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+    timed = events.withWatermark(event_time, delay).withColumn("_lane", F.spark_partition_id() % lanes)
+    within = timed.dropDuplicatesWithinWatermark([*keys, "_lane"]).drop("_lane")
+    return within.dropDuplicatesWithinWatermark(list(keys))
 
 
 def append_stream(

@@ -70,6 +70,19 @@ def test_stream_deduplication_spans_batches(spark, tmp_path):
     assert run() == 15
 
 
+def test_stream_deduplication_of_many_copies(spark, tmp_path):
+    """A record that makes up most of the stream, spread over files, stays once."""
+    source = tmp_path / "in"
+    for n in range(12):
+        _put(source, f"{n}.txt", [_record(7, 7, 1.0, 5000)] * 50 + [_record(n, 1, 1.0, 5000 + n)])
+    raw = ingest.open_stream(spark, "text", {"maxFilesPerTrigger": "5"}, path=str(source))
+    timed = ingest.parse_events(raw).withColumn("at", F.timestamp_seconds("ts"))
+    unique = ingest.drop_replays(timed, ["user_id", "item_id", "ts"], "at", "1 hour")
+    ingest.append_stream(unique, str(tmp_path / "out"), str(tmp_path / "cp"), once=True).awaitTermination()
+    rows = spark.read.parquet(str(tmp_path / "out"))
+    assert rows.count() == 13 and rows.filter("user_id = 7 and item_id = 7").count() == 1
+
+
 def test_kafka_options():
     options = ingest.kafka_options("host:1", "topic", maxOffsetsPerTrigger="5")
     assert options == {
