@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,7 +57,7 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
 
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive rows of a batch with about ``limit`` bytes of text each, one row at least."""
-    lengths = pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()
+    lengths = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
     first = size = 0
     for i, n in enumerate(lengths):
         if i > first and size + n > limit:
@@ -67,12 +68,12 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
         yield batch.slice(first)
 
 
-def map_slices(df: DataFrame, function, schema: str, text: str = "text") -> DataFrame:
+def map_slices(df: DataFrame, function, schema: str, text: str = "text", limit: int = SLICE_BYTES) -> DataFrame:
     """``mapInArrow`` that hands ``function`` slices of bounded size; it returns a RecordBatch."""
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, limit):
                 yield function(part)
 
     return df.mapInArrow(run, schema)

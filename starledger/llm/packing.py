@@ -12,12 +12,13 @@ import zlib
 from collections import defaultdict
 from heapq import heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starledger.llm.common import map_slices
-from starledger.llm.tokens import bound_batches, encoder, texts_of
+from starledger.llm.tokens import SLICE_BYTES, bound_batches, encoder
 from starledger.session import stage
 
 SIZE = 2048
@@ -39,26 +40,28 @@ def token_pieces(
     bound_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    tail, width = end.to_bytes(4, "little"), 4 * size
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ends, ids = encoder(path).encode(batch.column("text"))
         at, start, length, crc, total = [], [], [], [], []
-        for i, ids in enumerate(encoder(path).encode(texts_of(batch))):
-            ids += tail
-            for k in range(0, len(ids), width):
-                part = ids[k : k + width]
+        first = 0
+        for i, last in enumerate(ends.tolist()):
+            own = np.append(ids[first:last], np.uint32(end)).astype("<u4")
+            first = last
+            for k in range(0, len(own), size):
+                part = own[k : k + size]
                 at.append(i)
-                start.append(k // 4)
-                length.append(len(part) // 4)
+                start.append(k)
+                length.append(len(part))
                 crc.append(zlib.crc32(part))
-                total.append(len(ids) // 4)
+                total.append(len(own))
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id").take(pa.array(at, pa.int32())), *[pa.array(x, pa.int64()) for x in (start, length, crc, total)]],
             names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"],
         )
 
     return map_slices(
-        rows, run, f"doc_id {id_type}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
+        rows, run, f"doc_id {id_type}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint", limit=SLICE_BYTES
     )
 
 

@@ -1,26 +1,30 @@
 """Token counts and ids of whole texts, in bounded memory.
 
-A tokenizer file is opened once per Python worker. Texts are cut where the tokenizer's own
-splitting into words is known to cut as well: before a single blank between two other
-characters, and around a single line break. What lies between repeats a lot, so its ids
-are remembered. Huge texts are encoded in overlapping chunks on different tasks and spliced.
+A tokenizer file is opened once per Python worker. Texts are cut into words where the
+tokenizer cuts for sure, and words repeat a lot, so their ids are remembered; unknown words
+of many texts are encoded together. Huge texts are encoded in overlapping chunks on
+different tasks and spliced.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starledger.llm.common import map_slices
 from starledger.session import stage
 
-#: Pieces remembered per worker: some 80 MB.
-REMEMBERED = 300_000
+#: Bytes of text whose words are numbered together, so that each is looked up once.
+SLICE_BYTES = 4 << 20
+#: Words remembered per worker, some 100 MB. The first met are kept, which are nearly all
+#: the frequent ones.
+REMEMBERED = 400_000
 #: Texts of more characters than this are encoded in chunks of it.
 CHUNK_CHARS = 32_768
 #: Characters that neighbouring chunks share at first. Where no common boundary lies in
@@ -28,21 +32,9 @@ CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 256
 WIDEN = 8
 
-_SPACES = re.compile(r"\s\s")
-_SAFE_BLANK = re.compile(r"(?<=\S) (?=\S)")
-
-
-def pieces(text: str) -> list[str]:
-    """The text cut at boundaries that the word splitting of byte-level BPE has for sure.
-
-    A blank that stands alone between non-space characters starts a word; a line break that
-    stands alone is a word by itself. With two spaces together only lone blanks are used.
-    """
-    if "\0" in text:
-        return [text]
-    if _SPACES.search(text):
-        return _SAFE_BLANK.sub("\0 ", text).split("\0")
-    return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+_LONE_BLANK = re.compile(r"(?<=\S) (?=\S)")
+#: Two spaces together, a space at an end, or a space that is neither a blank nor a line break.
+_UNEVEN = r"[ \n][ \n]|^[ \n]|[ \n]$|[\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
 class Encoder:
@@ -54,31 +46,82 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.ids: dict[str, bytes] = {}
         if self.tokenizer.normalizer is not None or type(self.tokenizer.pre_tokenizer).__name__ != "ByteLevel":
             raise ValueError("cutting texts is proven for byte-level BPE without a normalizer only")
         self.longest_special = max((len(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()), default=0)
-
-    def learn(self, wanted: Iterable[str]) -> None:
-        new = [p for p in wanted if p not in self.ids]
-        if len(self.ids) + len(new) > REMEMBERED:
-            self.ids.clear()
-            new = list(wanted)
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            for piece, encoding in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.ids[piece] = _packed(encoding.ids)
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        cut = [pieces(t) for t in texts]
-        self.learn(set().union(*cut))
-        for own in cut:
-            yield b"".join(map(self.ids.__getitem__, own))
-
-
-def _packed(ids: list[int]) -> bytes:
-    return b"".join(i.to_bytes(4, "little") for i in ids)
+        self.known: dict[str, np.ndarray] = {}
+        self.marks = {mark: self.whole(mark) for mark in ".,"}
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def _together(self, words: list[str], lead: str) -> list[np.ndarray]:
+        """Ids of many words encoded as one text, told apart by their places. ``lead`` is put
+        before each; a line break there is a token by itself and is left out."""
+        e = self.tokenizer.encode("".join([lead + w for w in words]), add_special_tokens=False)
+        ids = np.asarray(e.ids, np.uint32)
+        starts = np.fromiter((a for a, _ in e.offsets), np.int64, len(e))
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + len(lead))
+        cuts = [0, *np.searchsorted(starts, ends).tolist()]
+        return [ids[x + len(lead) : y] for x, y in zip(cuts, cuts[1:])]
+
+    def ids_of(self, words: list[str]) -> list[np.ndarray]:
+        """Ids of distinct pieces of text. What ends in a stop or comma behind a letter or digit
+        is the rest and the mark."""
+        known, out, later = self.known, {}, ([], [])
+        found = list(map(known.get, words))
+        for word in [w for w, x in zip(words, found) if x is None]:
+            mark = self.marks.get(word[-1:])
+            if mark is not None and word[-2:-1].isalnum() and (bare := known.get(word[:-1])) is not None:
+                out[word] = np.concatenate((bare, mark))
+            elif not word.strip() or word[-1].isspace() or word[1:2].isspace() or (word[0] != " " and word[0].isspace()):
+                out[word] = self.whole(word)
+            else:
+                later[word[0] == " "].append(word)
+        for words_, lead in zip(later, ("\n", "")):
+            if words_:
+                out.update(zip(words_, self._together(words_, lead)))
+        if len(known) < REMEMBERED:
+            known.update((w, x.copy()) for w, x in out.items())
+        return [out[w] if x is None else x for w, x in zip(words, found)]
+
+    def _cut(self, texts: pa.Array) -> pa.ListArray:
+        """Texts as lists of pieces that byte-level BPE encodes each by itself.
+
+        A lone blank between non-space characters starts a word; a lone line break between
+        them is a word by itself. A text with other spaces is cut at lone blanks only, and
+        one with a NUL, which marks the cuts, not at all.
+        """
+        uneven = pc.match_substring_regex(texts, _UNEVEN)
+        even = pc.replace_substring(pc.replace_substring(texts, " ", "\0 "), "\n", "\0\n\0")
+        if pc.any(uneven).as_py():
+            own = [_LONE_BLANK.sub("\0 ", t) for t in texts.filter(uneven).to_pylist()]
+            even = pc.replace_with_mask(even, uneven, pa.array(own, even.type))
+        return pc.split_pattern(even, "\0")
+
+    def encode(self, texts: pa.Array, counts_only: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
+        """(where each text's ids end, the ids of all texts) of a column without nulls."""
+        with_nul = pc.match_substring(texts, "\0")
+        lists = self._cut(pc.if_else(with_nul, "", texts))
+        numbered = lists.flatten().dictionary_encode()
+        if isinstance(numbered, pa.ChunkedArray):
+            numbered = numbered.combine_chunks()
+        codes = numbered.indices.to_numpy(zero_copy_only=False)
+        ids = self.ids_of(numbered.dictionary.to_numpy(zero_copy_only=False).tolist())
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        begin = np.concatenate(([0], np.cumsum(size)))[:-1]
+        upto = np.concatenate(([0], np.cumsum(size[codes])))
+        ends = upto[np.asarray(lists.offsets)[1:] - lists.offsets[0].as_py()]
+        flat = None
+        if not counts_only:
+            pool = np.concatenate(ids) if ids else np.empty(0, np.uint32)
+            flat = pool[np.repeat(begin[codes] - upto[:-1], size[codes]) + np.arange(upto[-1])]
+        for i in np.flatnonzero(with_nul.to_numpy(zero_copy_only=False)):
+            own = self.whole(texts[i].as_py())
+            if flat is not None:
+                flat = np.concatenate((flat[: ends[i]], own, flat[ends[i] :]))
+            ends[i:] += len(own)
+        return ends, flat
 
 
 @lru_cache(maxsize=4)
@@ -89,10 +132,6 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
-    return [t or "" for t in batch.column(column).to_pylist()]
-
-
 def _boundaries(encoding, start: int, length: int, low: int, high: int) -> tuple[list[int], list[int]]:
     """Word boundaries of a chunk between two places of its document, and the tokens before each."""
     places, counts, last = [], [], None
@@ -203,16 +242,17 @@ def count_tokens(
     short = rows.filter(F.char_length("text") <= chunk)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        n = [len(ids) // 4 for ids in encoder(path).encode(texts_of(batch))]
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), pa.array(n, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
+        ends, _ = encoder(path).encode(batch.column("text"), counts_only=True)
+        counts = pa.array(np.diff(ends, prepend=0), pa.int64())
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), counts], names=["doc_id", "n_bytes", "n_tokens"])
 
-    counted = map_slices(short, run, f"doc_id {id_type}, n_bytes bigint, n_tokens bigint")
+    counted = map_slices(short, run, f"doc_id {id_type}, n_bytes bigint, n_tokens bigint", limit=SLICE_BYTES)
     huge = rows.filter(F.char_length("text") > chunk).withColumn("key", F.sha2("text", 256))
     unique = huge.groupBy("key").agg(F.any_value("text").alias("text"))
     counts = _huge_counts(stage(unique, "huge-texts"), path, chunk, overlap)
     return counted.unionByName(huge.drop("text").join(counts, "key").select("doc_id", "n_bytes", "n_tokens"))
 
 
-def bound_batches(spark, rows: int = 200) -> None:
+def bound_batches(spark, rows: int = 1000) -> None:
     """Rows per Arrow batch: keeps a batch of very long texts within a worker's memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
