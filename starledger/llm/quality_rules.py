@@ -143,4 +143,7 @@ def keep_good(docs: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
     """The documents that pass, with their own columns. All of them travel in one struct,
     so a column named like a count cannot clash."""
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col(text).alias("_text"))
-    return apply_rules(packed, ["_doc"], "_text", rules).filter("kept").select("_doc.*")
+    judged = apply_rules(packed, ["_doc"], "_text", rules)
+    # A filter would be pushed below the counts and repeat them in itself; an array of one
+    # or no document, exploded, is not.
+    return judged.select(F.explode(F.when(F.col("kept"), F.array("_doc"))).alias("_doc")).select("_doc.*")
