@@ -4,9 +4,10 @@ Only one document per shingle set is compared. Its MinHash samples are cut into
 each bucket of a band every set is paired with a centre, not with every other set. A
 pair's odd sketches, parity bitmaps of the samples, differ in a number of bits that tells
 its similarity closely at the high end; what is clearly below the threshold is left out,
-the rest is compared on the full sets. Links merge sets into components. What a bucket
-still holds of different components is then paired exhaustively, so no link between
-components is lost.
+and each set is compared with the most similar of its centres on the full sets. Links
+merge sets into components. What a bucket still holds of different components is then
+compared exhaustively on the full sets, tile by tile, so no link between components is
+lost.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ SKETCH_LONGS = 8
 #: Two sketches of sets with a similarity of 0.8 differ in 69 bits on average, with a
 #: standard deviation of 10; of unlike sets in 202. More than this and the pair is left out.
 SKETCH_LIMIT = 150
+#: Sets in a tile, where what a bucket holds of different components is compared.
+TILE = 256
 
 
 def shingles(texts: list[bytes], width: int) -> list[np.ndarray]:
@@ -138,12 +141,68 @@ def _plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.filter(sizes).select("a", "b", odd.alias("odd")).filter(F.col("odd") <= SKETCH_LIMIT)
 
 
-def _across(pairs: DataFrame, merged: DataFrame) -> DataFrame:
-    """Pairs whose ends are in different components; those of a and b are added as ca, cb."""
-    for side in ("a", "b"):
-        own = merged.select(F.col("node").alias(side), F.col("component").alias(f"c{side}"))
-        pairs = pairs.join(own, side, "left").withColumn(f"c{side}", F.coalesce(f"c{side}", side))
-    return pairs.filter("ca <> cb")
+def _across_components(held: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between different components of each bucket; held (band, id, component,
+    size, set).
+
+    A bucket is dealt into tiles of about ``TILE`` sets; two tiles meet in one task, where
+    intersections are counted as products of incidence matrices. A task returns no more
+    links than join its components, so the output is linear in the bucket.
+    """
+    tiles = F.greatest(F.ceil(F.col("size") / TILE), F.lit(1)).cast("int")
+    dealt = held.withColumn("tile", F.pmod(F.xxhash64("id"), tiles).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
+    dealt = dealt.select("band", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "id", "component", "set")
+
+    def compare(table: pa.Table) -> pa.Table:
+        ids, parts, tile = (table.column(c).to_pylist() for c in ("id", "component", "tile"))
+        sets = [np.sort(np.asarray(x, np.int64)) for x in table.column("set").to_pylist()]
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        left = [k for k, t in enumerate(tile) if t == i]
+        right = [k for k, t in enumerate(tile) if t == j]
+        common = _intersections([sets[k] for k in left], [sets[k] for k in right])
+        n = np.array([len(x) for x in sets])
+        union = n[left][:, None] + n[right][None, :] - common
+        a, b, root = [], [], {}
+
+        def find(c):
+            while root.get(c, c) != c:
+                c = root[c]
+            return c
+
+        for x, y in zip(*np.nonzero(100 * common >= percent * union)):
+            p, q = left[x], right[y]
+            cp, cq = find(parts[p]), find(parts[q])
+            if cp != cq:
+                root[max(cp, cq)] = min(cp, cq)
+                a.append(min(ids[p], ids[q]))
+                b.append(max(ids[p], ids[q]))
+        return pa.table({"a": pa.array(a, table.schema.field("id").type), "b": pa.array(b, table.schema.field("id").type)})
+
+    id_type = held.schema["id"].dataType.simpleString()
+    return dealt.groupBy("band", "i", "j").applyInArrow(compare, f"a {id_type}, b {id_type}").distinct()
+
+
+def _intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections, over the values that both sides have, some at a time."""
+    if not left or not right:
+        return np.zeros((len(left), len(right)), np.int64)
+    values = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    total = np.zeros((len(left), len(right)), np.int64)
+    for k in range(0, len(values), 8192):
+        part = values[k : k + 8192]
+        one, other = (_incidence(side, part) for side in (left, right))
+        total += (one @ other.T).astype(np.int64)
+    return total
+
+
+def _incidence(sets: list[np.ndarray], values: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(sets), len(values)), np.float32)
+    for row, own in zip(out, sets):
+        own = own[np.searchsorted(own, values[0]) : np.searchsorted(own, values[-1], "right")]
+        place = np.searchsorted(values, own)
+        row[place[values[place] == own]] = 1
+    return out
 
 
 def near_duplicates(
@@ -179,23 +238,17 @@ def near_duplicates(
     texts = having_ids(docs, wanted, "doc_id", is_small(wanted))
     full = stage(_full_sets(texts, width), "full-sets")
 
-    # First each set with the most similar of its centres, then what that leaves apart.
+    # First each set with the most similar of its centres.
     best = pairs.groupBy("b").agg(F.min_by("a", F.struct("odd", "a")).alias("a")).select("a", "b")
     links = [stage(_confirmed(best, full, percent), "links")]
     merged = components(links[0])
-    apart = _across(pairs, merged).select("a", "b").join(best, ["a", "b"], "left_anti")
-    links.append(stage(_confirmed(apart, full, percent), "links"))
-    merged = stage(components(links[0].unionByName(links[1])), "merged")
     # Buckets that still hold several components: every pair across them, none within.
     held = shared.join(merged.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = held.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("band")
-    held = stage(held.join(mixed, "band", "left_semi").select("band", "id", "component"), "apart")
+    mixed = held.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("size")).filter("x < y").select("band", "size")
+    held = stage(held.join(mixed, "band").select("band", "id", "component", "size"), "apart")
     if not held.isEmpty():
-        one, other = held.toDF("band", "a", "ca"), held.toDF("band", "b", "cb")
-        rest = one.join(other, "band").filter("ca <> cb AND a < b").select("a", "b").distinct()
-        rest = rest.join(pairs, ["a", "b"], "left_anti")
-        links.append(stage(_confirmed(_plausible(rest, sets, percent).select("a", "b"), full, percent), "links"))
-        merged = components(links[0].unionByName(links[1]).unionByName(links[2]))
+        links.append(stage(_across_components(held.join(full, "id"), percent), "links"))
+        merged = components(links[0].unionByName(links[1]))
     # One node for an id that has several sets: their heads are linked through it.
     heads_of = member.join(merged.withColumnRenamed("node", "id"), "id", "left").select(
         "doc_id", F.coalesce("component", "id").alias("component_id")
