@@ -235,8 +235,11 @@ ORACLES = {
     "features_train_stats": _sql(
         [*_BASE, "train_ratings", "train_users", "train_items"],
         """SELECT base.* EXCLUDE (user_rating_count, user_avg_rating, item_rating_count, item_avg_rating),
-                  t.user_rating_count, t.user_avg_rating, i.item_rating_count, i.item_avg_rating
-           FROM base JOIN train_users AS t USING (user_id) JOIN train_items AS i USING (item_id)""",
+                  coalesce(t.user_rating_count, 0) AS user_rating_count,
+                  coalesce(t.user_avg_rating, (SELECT round(avg(rating), 3) FROM train_ratings)) AS user_avg_rating,
+                  coalesce(i.item_rating_count, 0) AS item_rating_count,
+                  coalesce(i.item_avg_rating, (SELECT round(avg(rating), 3) FROM train_ratings)) AS item_avg_rating
+           FROM base LEFT JOIN train_users AS t USING (user_id) LEFT JOIN train_items AS i USING (item_id)""",
     ),
     "index_category": _sql(
         [*_BASE, "indexed"], "SELECT main_tag, CAST(tag_index AS DOUBLE) AS main_tag_index FROM indexed"

@@ -22,10 +22,10 @@ def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int = 40) -> DataFrame:
     """Rows per equal-width bin between the least and greatest value; bins count from 1.
 
-    The greatest value belongs to the last bin. One value alone makes one bin.
+    Nulls and NaN are left out. The greatest value belongs to the last bin. One value alone makes one bin.
     """
     x = F.col(column).cast("double")
-    present = df.filter(x.isNotNull())
+    present = df.filter(x.isNotNull() & ~F.isnan(x))
     range_ = present.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
     lo, hi = range_["lo"], range_["hi"]
     bin_ = F.when(lo == hi, F.lit(1)).otherwise(F.least(F.width_bucket(x, lo, hi, F.lit(bins)), F.lit(bins)))

@@ -67,7 +67,8 @@ def features_base(ratings: DataFrame, items: DataFrame, stats_from: DataFrame |
 
     ``ratings`` are cleaned ratings of known items, such as the enriched table.
     ``stats_from`` takes the user and item statistics from other ratings, such as a
-    training split; by default they come from ``ratings`` themselves.
+    training split; by default they come from ``ratings`` themselves. A user or item that
+    has none there gets the count 0 and the mean of all of them; no rating is lost.
 
     Ratings are thinned to one per pair before the joins, on four narrow columns. The
     joins repeat no row and depend on the pair alone, so the result is the same. All
@@ -84,7 +85,11 @@ def features_base(ratings: DataFrame, items: DataFrame, stats_from: DataFrame |
         main_tag(F.col("tags_array")).alias("main_tag"),
         tag_count(F.col("tags_array")).alias("tag_count"),
     )
-    described = stage(item_features(base).join(item_columns, "item_id", "left"), "item-features")
+    if stats_from is None:
+        described = item_features(base).join(item_columns, "item_id", "left")
+    else:
+        described = item_columns.join(item_features(base), "item_id", "left")
+    described = stage(described, "item-features")
 
     latest = keep_latest(rated, ["user_id", "item_id"], "ts")
     with_users = lookup_join(
@@ -100,9 +105,14 @@ def features_base(ratings: DataFrame, items: DataFrame, stats_from: DataFrame |
         described,
         "item_id",
         "left",
-        key_counts=described.select("item_id", F.col("item_rating_count").alias("n")),
+        key_counts=described.select("item_id", F.coalesce("item_rating_count", F.lit(0)).alias("n")),
         small=fits_broadcast(described),
     )
+    if stats_from is not None:
+        mean = F.coalesce(base.agg(F.round(F.avg("rating"), 3)).scalar(), F.lit(0.0))
+        for side in ("user", "item"):
+            joined = joined.withColumn(f"{side}_rating_count", F.coalesce(f"{side}_rating_count", F.lit(0)))
+            joined = joined.withColumn(f"{side}_avg_rating", F.coalesce(f"{side}_avg_rating", mean))
     dated = joined.withColumns(time_parts(epoch_to_timestamp(F.col("ts"))))
     return complete_rows(dated.select(*BASE_COLUMNS))
 

@@ -121,10 +121,15 @@ def table_profile(df: DataFrame) -> DataFrame:
 
 
 def headline_figures(pairs: DataFrame) -> DataFrame:
-    """Total ratings, distinct items and users, and the mean rating, in one row."""
-    return pairs.agg(
-        F.count(F.lit(1)).alias("total_ratings"),
-        F.countDistinct("item_id").alias("total_items"),
-        F.countDistinct("user_id").alias("total_users"),
-        F.round(F.avg("rating"), 2).alias("avg_rating"),
-    )
+    """Total ratings, distinct items and users, and the mean rating, in one row.
+
+    Items and users are counted by grouping; two distinct counts in one aggregate would
+    make three copies of every row.
+    """
+    items = pairs.groupBy("item_id").agg(F.count(F.lit(1)).alias("n"), F.sum("rating").alias("s"), F.count("rating").alias("r"))
+    users = pairs.groupBy("user_id").agg(F.lit(1).alias("one")).agg(F.count("user_id").alias("users"))
+    return items.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_ratings"),
+        F.count("item_id").alias("total_items"),
+        F.round(F.sum("s") / F.sum("r"), 2).alias("avg_rating"),
+    ).select("total_ratings", "total_items", users.scalar().alias("total_users"), "avg_rating")

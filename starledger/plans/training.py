@@ -27,7 +27,9 @@ from starledger.session import workspace
 
 PAIR = ["user_id", "item_id"]
 PUBLISHED_PREDICTIONS = 5_000
-RATINGS_PER_BLOCK = 2_000_000
+#: Tasks of ALS on either side. Factors start at random per block, so another number of
+#: blocks gives another model; it follows from nothing but this setting.
+ALS_BLOCKS = 10
 
 # The models compared, and their settings.
 REGRESSORS: dict[str, tuple[type[Estimator], dict[str, object]]] = {
@@ -43,15 +45,19 @@ REGRESSORS: dict[str, tuple[type[Estimator], dict[str, object]]] = {
 ALS_SETTINGS: dict[str, object] = {"rank": 10, "maxIter": 10, "regParam": 0.1}
 
 
-def fit_als(train: DataFrame, settings: Mapping[str, object] = ALS_SETTINGS, seed: int = 42) -> ALSModel:
+def fit_als(
+    train: DataFrame,
+    settings: Mapping[str, object] = ALS_SETTINGS,
+    seed: int = 42,
+    blocks: int = ALS_BLOCKS,
+) -> ALSModel:
     """Non-negative ALS; users or items unseen in training get no prediction.
 
-    ALS runs one task per block, ten by default. Here the blocks grow with the ratings
-    and not with the cluster, so any cluster gives the same model. The workspace gives
-    ALS a checkpoint folder, where it cuts its lineage every ten iterations.
+    ALS runs one task per block: raise ``blocks`` for more ratings, and keep it to get the
+    same model again. The workspace gives ALS a checkpoint folder, where it cuts its
+    lineage every ten iterations.
     """
     workspace(train.sparkSession)
-    blocks = max(10, -(-train.count() // RATINGS_PER_BLOCK))
     als = ALS(
         numUserBlocks=blocks,
         numItemBlocks=blocks,

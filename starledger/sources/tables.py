@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starledger.schemas import ITEM_SCHEMA, from_wire, wire_schema
@@ -43,11 +44,16 @@ def safe_read_table(
 def read_items_csv(spark: SparkSession, path: str) -> DataFrame:
     """The item file: a header row, then id, title and ``A|B|C`` tags.
 
-    The schema is given rather than inferred, which saves a pass over the file. An id
-    that is not a number reads as null and is dropped by cleaning.
+    Columns are found by their names in the header, in any order and among others; a
+    missing one is an error. Values are cast, so an id that is not a number reads as null
+    and is dropped by cleaning.
     """
-    reader = spark.read.option("header", True).option("escape", '"').schema(wire_schema(ITEM_SCHEMA))
-    return from_wire(reader.csv(path))
+    raw = spark.read.option("header", True).option("escape", '"').csv(path)
+    wanted = wire_schema(ITEM_SCHEMA)
+    missing = [f.name for f in wanted if f.name not in raw.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; its header names {', '.join(raw.columns)}")
+    return from_wire(raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in wanted]))
 
 
 def write_table(

@@ -69,7 +69,16 @@ def test_statistics_from_other_ratings(ratings, items):
     past = ratings.filter("ts < 1705000000")
     got = features.features_base(ratings, items, stats_from=past)
     counts = {r.user_id: r["count"] for r in past.groupBy("user_id").count().collect()}
-    assert all(r.user_rating_count == counts[r.user_id] for r in got.collect())
+    assert all(r.user_rating_count == counts.get(r.user_id, 0) for r in got.collect())
+
+
+def test_unknown_keys_keep_their_rows(ratings, items):
+    past = ratings.filter("user_id <> 1 AND item_id <> 2")
+    got = features.features_base(ratings, items, stats_from=past)
+    assert got.count() == features.features_base(ratings, items).count()
+    mean = past.agg(F.round(F.avg("rating"), 3)).first()[0]
+    assert {(r.user_rating_count, r.user_avg_rating) for r in got.filter("user_id = 1").collect()} == {(0, mean)}
+    assert {(r.item_rating_count, r.item_avg_rating) for r in got.filter("item_id = 2").collect()} == {(0, mean)}
 
 
 def test_unknown_items_and_incomplete_rows_drop_out(spark, ratings, items):

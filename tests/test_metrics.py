@@ -35,3 +35,8 @@ def test_histogram_of_one_value_and_of_nothing(spark):
     same = spark.createDataFrame([(3.0,), (3.0,), (None,)], "x double")
     assert [(b.bin, b.n) for b in histogram(same, "x").collect()] == [(1, 2)]
     assert histogram(same.limit(0), "x").collect() == []
+
+
+def test_histogram_leaves_out_nan(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (None,)], "x double")
+    assert [(r.bin, r.n) for r in histogram(df, "x", 4).orderBy("bin").collect()] == [(1, 1), (4, 1)]

@@ -78,3 +78,13 @@ def test_stage_keeps_rows_schema_and_metadata(spark):
     staged = session.stage(df, "test")
     assert tuples(staged) == tuples(df)
     assert staged.schema["x"].metadata == {"note": "kept"}
+
+
+def test_item_file_is_read_by_header_name(spark, tmp_path):
+    path = tmp_path / "items.csv"
+    path.write_text("genres,extra,title,movieId\nA|B,z,first,1\nC,z,second,x\n")
+    rows = read_items_csv(spark, str(path)).collect()
+    assert [(r.item_id, r.title, r.tags) for r in rows] == [(1, "first", "A|B"), (None, "second", "C")]
+    path.write_text("title,movieId\nfirst,1\n")
+    with pytest.raises(ValueError, match="genres"):
+        read_items_csv(spark, str(path))
