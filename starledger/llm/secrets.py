@@ -46,7 +46,7 @@ ENCODINGS = (
     Encoding("base36", r"^([0-9a-z]+|[0-9A-Z]+)$", _DIGITS + _LOWER, 1.3),
     Encoding("base64", r"^[A-Za-z0-9+/_-]+=*$", _UPPER + _LOWER + _DIGITS + "+/", 3.2),
 )
-#: A random string passes all three tests with a probability of 1 - 3 * ALPHA.
+#: A random string passes all four tests with a probability of at least 1 - 4 * ALPHA.
 ALPHA = 0.001
 #: Share of false finds aimed at among the finds of the randomness tests.
 FALSE_DISCOVERIES = 0.01
@@ -103,9 +103,9 @@ def normal_cdf(z: Column) -> Column:
 def battery(token: Column) -> Column:
     """Struct of (encoding, p_random, p_text) for a string; null where no encoding fits.
 
-    ``p_random``: the least p-value of three tests of "every character is drawn evenly
+    ``p_random``: the least p-value of four tests of "every character is drawn evenly
     from the alphabet": chi-squared uniformity, runs above and below the middle of the
-    alphabet, correlation of neighbours. ``p_text``: how likely a natural string of this
+    alphabet, correlation of neighbours, the share of digits. ``p_text``: how likely a natural string of this
     length is to be so even. It shrinks with the length; a short string cannot reach a
     small value.
     """
@@ -117,7 +117,7 @@ def battery(token: Column) -> Column:
 
 
 def _counted(bare: Column, code: Encoding) -> Column:
-    """What the three tests need of a string in this encoding."""
+    """What the tests need of a string in this encoding."""
     n, k = F.char_length(bare).cast("double"), float(len(code.alphabet))
     plain = F.translate(F.lower(bare) if code.name in ("hex", "base36") else bare, "-_", "+/")
     letters = F.split(plain, "")
@@ -149,6 +149,8 @@ def _counted(bare: Column, code: Encoding) -> Column:
         chi.alias("chi"),
         ((chi - (k - 1)) / F.sqrt(2 * (k - 1) * (n - 1) / n)).alias("z_even"),
         F.aggregate(values, start, walk).alias("walk"),
+        (n - F.char_length(F.regexp_replace(plain, "[0-9]", ""))).alias("digits"),
+        F.lit(sum(c.isdigit() for c in code.alphabet) / k).alias("digit_share"),
     )
 
 
@@ -161,8 +163,9 @@ def _p_values(r: Column) -> Column:
     spread = w.ss - w.s * w.s / n
     corr = F.when(spread <= 0, 1.0).otherwise((w.lag - w.s * w.s / n) / F.greatest(spread, F.lit(1e-9)))
     z_corr = (corr + 1.0 / n) * F.sqrt(n)
+    z_digits = (r.digits - n * r.digit_share) / F.sqrt(F.greatest(n * r.digit_share * (1 - r.digit_share), F.lit(1e-9)))
     p_random = F.least(
-        1.0 - normal_cdf(r.z_even), 2.0 * (1.0 - normal_cdf(F.abs(z_runs))), 2.0 * (1.0 - normal_cdf(F.abs(z_corr)))
+        1.0 - normal_cdf(r.z_even), *[2.0 * (1.0 - normal_cdf(F.abs(z))) for z in (z_runs, z_corr, z_digits)]
     )
     # Natural strings: chi-squared with a shift of n * excess.
     shift = n * r.excess
