@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 
 from starledger.plans import jobs
+from starledger.plans.training import ALS_BLOCKS
 from starledger.session import build_session
 from starledger.streaming.ingest import kafka_options
 
@@ -23,17 +24,22 @@ def parse() -> argparse.Namespace:
     bronze.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
     bronze.add_argument("--once", action="store_true", help="stop when present data is read")
 
-    sub.add_parser("inspect", help="show what bronze holds")
+    inspect = sub.add_parser("inspect", help="show what bronze holds")
+    inspect.add_argument("--preview", type=int, default=20, help="rows to print")
     silver = sub.add_parser("silver", help="clean and enrich")
     silver.add_argument("--items", required=True, help="item file (CSV with header)")
     sub.add_parser("gold", help="build the summary tables")
-    sub.add_parser("features", help="build the feature table")
-    sub.add_parser("als", help="train the recommender")
+    features = sub.add_parser("features", help="build the feature table")
+    features.add_argument("--train-only", action="store_true", help="statistics from the training folds alone")
+    als = sub.add_parser("als", help="train the recommender")
+    als.add_argument("--blocks", type=int, default=ALS_BLOCKS, help="tasks of either side; part of the model")
+    als.add_argument("--seed", type=int, default=42)
     sub.add_parser("regression", help="train and compare the regressors")
     views = sub.add_parser("views", help="print all views")
     views.add_argument("--top", type=int, default=15)
     views.add_argument("--min-ratings", type=int, default=30)
     views.add_argument("--model")
+    views.add_argument("--preview", type=int, default=20, help="rows to print of each view")
     return parser.parse_args()
 
 
@@ -48,19 +54,19 @@ def main() -> None:
             options = kafka_options(args.servers, args.topic, **options)
         jobs.run_bronze(lake, args.source, options, args.path, args.once).awaitTermination()
     elif args.job == "inspect":
-        jobs.run_inspect(lake)
+        jobs.run_inspect(lake, args.preview)
     elif args.job == "silver":
         jobs.run_silver(lake, args.items)
     elif args.job == "gold":
         jobs.run_gold(lake)
     elif args.job == "features":
-        jobs.run_features(lake)
+        jobs.run_features(lake, args.train_only)
     elif args.job == "als":
-        print(jobs.run_als(lake))
+        print(jobs.run_als(lake, args.blocks, args.seed))
     elif args.job == "regression":
         print("best model:", jobs.run_regression(lake))
     else:
-        jobs.run_views(lake, args.top, args.min_ratings, args.model)
+        jobs.run_views(lake, args.top, args.min_ratings, args.model, args.preview)
 
 
 if __name__ == "__main__":

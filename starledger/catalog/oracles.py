@@ -70,6 +70,14 @@ _PARTS = {
         SELECT main_tag, row_number() OVER (ORDER BY count(*) DESC, main_tag) - 1 AS tag_index,
                count(*) OVER () AS tag_total
         FROM base GROUP BY main_tag""",
+    "labelled": """
+        SELECT user_id, item_id, title, rating AS actual_rating,
+               CAST('0x' || substr(md5(concat_ws('|', user_id, item_id, '42')), 1, 8) AS BIGINT) % 10 AS fold
+        FROM base""",
+    "slots": """
+        SELECT unnest(['rating_year', 'rating_month', 'rating_dayofweek', 'rating_hour', 'tag_count',
+                       'user_rating_count', 'user_avg_rating', 'item_rating_count', 'item_avg_rating']) AS feature_name
+        UNION ALL SELECT 'main_tag_vec_' || main_tag FROM indexed""",
     "residual_rows": """
         SELECT user_id, item_id, title, test.rating AS actual_rating, predicted_rating,
                test.rating - predicted_rating AS residual, 'Item mean' AS model_name
@@ -116,6 +124,24 @@ _MAIN = ["exploded", "occurrence", "main"]
 _BASE = [*_SILVER, "pairs", *_STATS, *_MAIN, "base"]
 _RESIDUALS = [*_SILVER, "pairs", "folded", "residual_rows"]
 _COMPARISON = [*_BASE, "errors", "comparison"]
+_LABELLED = [*_BASE, "labelled"]
+
+_MEAN_KEEPER = """
+    SELECT user_id, item_id, title, actual_rating, '{}' AS model_name, true AS residual_agrees,
+           (SELECT round(avg(actual_rating), 6) FROM labelled WHERE fold < 8) AS train_mean
+    FROM labelled WHERE fold >= 8"""
+_SHARES = """
+    SELECT model_name, feature_name, true AS non_negative, CAST(1 AS DOUBLE) AS model_total
+    FROM slots, (SELECT unnest([{}]) AS model_name)"""
+# The models' settings, as logged.
+_SETTINGS = """
+    ('Linear Regression', 'maxIter', '50'), ('Linear Regression', 'regParam', '0.1'),
+    ('Decision Tree Regressor', 'maxDepth', '8'), ('Decision Tree Regressor', 'seed', '42'),
+    ('Random Forest Regressor', 'numTrees', '50'), ('Random Forest Regressor', 'maxDepth', '8'),
+    ('Random Forest Regressor', 'seed', '42'),
+    ('GBT Regressor', 'maxIter', '50'), ('GBT Regressor', 'maxDepth', '5'), ('GBT Regressor', 'seed', '42'),
+    ('Generalized Linear Regression', 'family', 'gaussian'), ('Generalized Linear Regression', 'link', 'identity'),
+    ('Generalized Linear Regression', 'maxIter', '50'), ('Generalized Linear Regression', 'regParam', '0.1')"""
 
 
 def _sql(parts: list[str], select: str) -> str:
@@ -304,4 +330,41 @@ ORACLES = {
            FROM comparison ORDER BY comparison.rmse, model_name LIMIT 1""",
     ),
     "model_names": _sql(_COMPARISON, "SELECT DISTINCT model_name FROM comparison"),
+    "als_predict": _sql(
+        [*_SILVER, "pairs", "folded"],
+        """SELECT user_id, item_id, rating, true AS non_negative FROM folded
+           WHERE fold >= 8 AND user_id IN (SELECT user_id FROM folded WHERE fold < 8)
+             AND item_id IN (SELECT item_id FROM folded WHERE fold < 8)""",
+    ),
+    "reg_linear": _sql(_LABELLED, _MEAN_KEEPER.format("Linear Regression")),
+    "reg_tree": _sql(_LABELLED, _MEAN_KEEPER.format("Decision Tree Regressor")),
+    "reg_forest": _sql(
+        _LABELLED,
+        """SELECT user_id, item_id, title, actual_rating, 'Random Forest Regressor' AS model_name,
+                  true AS residual_agrees, true AS in_range FROM labelled WHERE fold >= 8""",
+    ),
+    "reg_gbt": _sql(_LABELLED, _MEAN_KEEPER.format("GBT Regressor")),
+    "reg_glr": _sql(_LABELLED, _MEAN_KEEPER.format("Generalized Linear Regression")),
+    "model_comparison": _sql(
+        _LABELLED,
+        f"""SELECT DISTINCT model_name, (SELECT count(*) FROM labelled WHERE fold >= 8) AS test_rows,
+                   true AS rmse_agrees, true AS mae_agrees, true AS r2_agrees
+            FROM (VALUES {_SETTINGS}) AS s(model_name, key, value)""",
+    ),
+    "feature_importance": _sql(
+        [*_BASE, "indexed", "slots"],
+        _SHARES.format("'Decision Tree Regressor', 'Random Forest Regressor', 'GBT Regressor'"),
+    ),
+    "importance_for_model": _sql([*_BASE, "indexed", "slots"], _SHARES.format("'GBT Regressor'")),
+    "best_predictions": _sql(
+        _LABELLED,
+        """SELECT user_id, item_id, title, actual_rating, true AS residual_agrees, true AS of_best
+           FROM labelled WHERE fold >= 8
+           ORDER BY md5(concat_ws('|', user_id, item_id, '42')), user_id, item_id LIMIT 5000""",
+    ),
+    "run_log": f"""
+        WITH s AS (SELECT * FROM (VALUES {_SETTINGS}) AS s(run_name, key, setting))
+        SELECT run_name, 'param' AS kind, key, setting, true AS agrees FROM s
+        UNION ALL SELECT DISTINCT run_name, 'metric', unnest(['rmse', 'mae', 'r2']), '', true FROM s
+        UNION ALL SELECT DISTINCT run_name, 'artifact', 'model', '', true FROM s""",
 }

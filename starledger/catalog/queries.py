@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starledger.catalog import inputs
@@ -302,7 +303,7 @@ def _rounded(metrics: DataFrame) -> DataFrame:
 
 
 def residual_histogram(spark: SparkSession, d: str) -> DataFrame:
-    bins = histogram(residuals(spark, d), "residual")
+    bins = histogram(stage(residuals(spark, d).select("residual"), "residuals"), "residual")
     return bins.withColumns({edge: F.round(edge, 6) for edge in ("bin_start", "bin_end")})
 
 
@@ -340,41 +341,94 @@ def model_names(spark: SparkSession, d: str) -> DataFrame:
 # --- models -----------------------------------------------------------------------------
 
 
+# Fitted numbers differ from machine to machine in their last digits. These queries return
+# what must hold of them whatever they are, computed from the models' own output.
+
+
 def als_predict(spark: SparkSession, d: str) -> DataFrame:
-    train, test = hash_split(stage(ml_dataset(spark, d), "pairs"), PAIR)
-    return training.fit_als(train).transform(test).select(*PAIR, "rating", "prediction")
+    """The test pairs that get a prediction, and whether it is a number of at least 0."""
+    train, test = (stage(part, "als-split") for part in hash_split(ml_dataset(spark, d), PAIR))
+    scored = training.fit_als(train).transform(test)
+    return scored.select(*PAIR, "rating", (~F.isnan("prediction") & (F.col("prediction") >= 0)).alias("non_negative"))
+
+
+def _checked(predictions: DataFrame) -> DataFrame:
+    """The predictions' keys, and whether residual and prediction make up the rating."""
+    gap = F.abs(F.col("predicted_rating") + F.col("residual") - F.col("actual_rating"))
+    return predictions.select(*PAIR, "title", "actual_rating", "model_name", "predicted_rating", (gap < 1e-9).alias("residual_agrees"))
+
 
+def _mean_keeper(name: str):
+    """Test rows of a model whose mean prediction over the training rows is their mean rating."""
 
-def _regressor(name: str):
     def query(spark: SparkSession, d: str) -> DataFrame:
-        shared = Shared(spark, d)
-        return training.predictions_of(shared.trained(name).model, shared.split()[1], name)
+        train, test = Shared(spark, d).split()
+        model = Shared(spark, d).trained(name).model
+        mean = training.predictions_of(model, train, name).agg(F.round(F.avg("predicted_rating"), 6)).first()[0]
+        checked = _checked(training.predictions_of(model, test, name)).drop("predicted_rating")
+        return checked.withColumn("train_mean", F.lit(mean).cast("double"))
 
     return query
 
 
+def reg_forest(spark: SparkSession, d: str) -> DataFrame:
+    """Test rows, and whether each prediction lies within the ratings of the training rows."""
+    name = "Random Forest Regressor"
+    train, test = Shared(spark, d).split()
+    least, most = train.agg(F.min("label"), F.max("label")).first()
+    checked = _checked(training.predictions_of(Shared(spark, d).trained(name).model, test, name))
+    inside = F.col("predicted_rating").between(least - 1e-9, most + 1e-9)
+    return checked.withColumn("in_range", inside).drop("predicted_rating")
+
+
 def model_comparison(spark: SparkSession, d: str) -> DataFrame:
-    return training.comparison_table(spark, Shared(spark, d).all_trained())
+    """Every model, its test rows, and whether its metrics are those of MLlib's own evaluator."""
+    shared, metrics = Shared(spark, d), ("rmse", "mae", "r2")
+    published = {r.model_name: r for r in training.comparison_table(spark, shared.all_trained()).collect()}
+    rows = []
+    for trained in shared.all_trained():
+        scored = training.predictions_of(trained.model, shared.split()[1], trained.name)
+        agrees = []
+        for metric in metrics:
+            evaluator = RegressionEvaluator(labelCol="actual_rating", predictionCol="predicted_rating", metricName=metric)
+            agrees.append(abs(evaluator.evaluate(scored) - published[trained.name][metric]) < 1e-9)
+        rows.append((trained.name, scored.count(), *agrees))
+    return spark.createDataFrame(
+        rows, "model_name string, test_rows bigint, rmse_agrees boolean, mae_agrees boolean, r2_agrees boolean"
+    )
 
 
-def feature_importance(spark: SparkSession, d: str) -> DataFrame:
+def _importances(spark: SparkSession, d: str) -> DataFrame:
     shared = Shared(spark, d)
     return training.importance_table(spark, shared.all_trained(), features.slot_names(shared.features()))
 
 
+def _shares(importances: DataFrame) -> DataFrame:
+    total = F.round(F.sum("importance").over(Window.partitionBy("model_name")), 6)
+    return importances.select("model_name", "feature_name", (F.col("importance") >= 0).alias("non_negative"), total.alias("model_total"))
+
+
+def feature_importance(spark: SparkSession, d: str) -> DataFrame:
+    return _shares(_importances(spark, d))
+
+
 def importance_for_model(spark: SparkSession, d: str) -> DataFrame:
-    return views.importance_for_model(feature_importance(spark, d), "GBT Regressor")
+    return _shares(views.importance_for_model(_importances(spark, d), "GBT Regressor"))
 
 
 def best_predictions(spark: SparkSession, d: str) -> DataFrame:
+    """The published sample, and whether it is of the model that the comparison puts first."""
     shared = Shared(spark, d)
-    return training.published_predictions(shared.all_trained(), shared.split()[1])
+    first = views.best_model(training.comparison_table(spark, shared.all_trained())).first().model_name
+    sample = _checked(training.published_predictions(shared.all_trained(), shared.split()[1]))
+    return sample.withColumn("of_best", F.col("model_name") == first).drop("model_name", "predicted_rating")
 
 
 def run_log(spark: SparkSession, d: str) -> DataFrame:
-    """Settings, metrics and saved model of every run, appended and read back.
+    """Settings of every run, and which metrics and artifacts it logged, read back.
 
-    Each saved model is loaded again and must give the metrics it was logged with.
+    Each saved model is loaded again; ``agrees`` tells whether the metrics logged for it are
+    those of the model before it was saved.
     """
     shared = Shared(spark, d)
     log = fresh_path(spark, "run-log")
@@ -388,7 +442,18 @@ def run_log(spark: SparkSession, d: str) -> DataFrame:
             spark, trained.name, training.REGRESSORS[trained.name][1], metrics, artifact.removeprefix(workspace(spark))
         )
         write_table(record, log, mode="append")
-    return read_table(spark, log, schema=RUN_LOG_SCHEMA)
+    kept = [(t.name, "metric", k, float(v)) for t in shared.all_trained() for k, v in t.metrics.items()]
+    before = spark.createDataFrame(kept, "run_name string, kind string, key string, was double")
+    rows = read_table(spark, log, schema=RUN_LOG_SCHEMA).join(before, ["run_name", "kind", "key"], "left")
+    same = F.abs(F.expr("try_cast(value AS DOUBLE)") - F.col("was")) < 1e-9
+    is_metric = F.col("kind") == "metric"
+    return rows.select(
+        "run_name",
+        "kind",
+        "key",
+        F.when(F.col("kind") == "param", F.col("value")).otherwise("").alias("setting"),
+        F.when(is_metric, F.coalesce(same, F.lit(False))).otherwise(F.col("value").isNotNull()).alias("agrees"),
+    )
 
 
 QUERIES = {
@@ -441,11 +506,11 @@ QUERIES = {
     "best_model": best_model,
     "model_names": model_names,
     "als_predict": als_predict,
-    "reg_linear": _regressor("Linear Regression"),
-    "reg_tree": _regressor("Decision Tree Regressor"),
-    "reg_forest": _regressor("Random Forest Regressor"),
-    "reg_gbt": _regressor("GBT Regressor"),
-    "reg_glr": _regressor("Generalized Linear Regression"),
+    "reg_linear": _mean_keeper("Linear Regression"),
+    "reg_tree": _mean_keeper("Decision Tree Regressor"),
+    "reg_forest": reg_forest,
+    "reg_gbt": _mean_keeper("GBT Regressor"),
+    "reg_glr": _mean_keeper("Generalized Linear Regression"),
     "model_comparison": model_comparison,
     "feature_importance": feature_importance,
     "importance_for_model": importance_for_model,

@@ -52,6 +52,7 @@ class Lake:
     comparison = "gold/model_comparison_results"
     importances = "gold/feature_importance_results"
     predictions = "gold/best_model_predictions"
+    views = "views"
     models = "models"
     run_log = "runs"
 
@@ -76,12 +77,23 @@ def run_bronze(
     )
 
 
-def run_inspect(lake: Lake) -> None:
-    """Print what the bronze table holds."""
+def run_inspect(lake: Lake, preview: int = 20) -> None:
+    """Print what the bronze table holds, and its first ``preview`` rows by time and key.
+
+    The rating distribution is written whole under ``views/``.
+    """
     bronze = lake.read(lake.bronze)
     gold.table_profile(bronze).show(truncate=False)
-    bronze.limit(20).show(truncate=False)
-    gold.rating_distribution(bronze).show(100)
+    bronze.orderBy("ts", *training.PAIR, "rating").limit(preview).show(preview, truncate=False)
+    _publish(lake, "bronze_rating_distribution", gold.rating_distribution(bronze), preview)
+
+
+def _publish(lake: Lake, name: str, view: DataFrame, preview: int) -> None:
+    """Write a view whole under ``views/``; print its first rows and how many it has."""
+    table = f"{lake.views}/{name}"
+    lake.write(view, table, replace_schema=True)
+    view.show(preview, truncate=False)
+    print(f"   {lake.read(table).count()} rows in {table}")
 
 
 def run_silver(lake: Lake, items_csv: str) -> None:
@@ -92,7 +104,7 @@ def run_silver(lake: Lake, items_csv: str) -> None:
     """
     raw_items = read_items_csv(lake.spark, items_csv)
     lake.write(silver.clean_items(raw_items), lake.items)
-    lake.write(silver.build_silver(lake.read(lake.bronze), lake.read(lake.items)), lake.enriched)
+    lake.write(silver.enrich(silver.clean_ratings(lake.read(lake.bronze)), lake.read(lake.items)), lake.enriched)
 
 
 def run_gold(lake: Lake) -> None:
@@ -110,8 +122,12 @@ def run_gold(lake: Lake) -> None:
     lake.write(gold.model_input(ratings), lake.pairs)
 
 
-def run_features(lake: Lake) -> None:
-    base = stage(features.features_base(lake.read(lake.enriched), lake.read(lake.items)), "features-base")
+def run_features(lake: Lake, train_only: bool = False) -> None:
+    """The feature table. With ``train_only``, user and item statistics come from the
+    training folds alone, so that no test rating tells about itself."""
+    ratings = lake.read(lake.enriched)
+    stats_from = hash_split(ratings, training.PAIR)[0] if train_only else None
+    base = stage(features.features_base(ratings, lake.read(lake.items), stats_from), "features-base")
     lake.write(features.encode_features(base)[1], lake.features, replace_schema=True)
 
 
@@ -121,16 +137,27 @@ def _log(
     lake.write(training.run_record(lake.spark, name, params, metrics, artifact), lake.run_log, mode="append")
 
 
-def run_als(lake: Lake) -> dict[str, float]:
-    """Train and score the recommender; save it and log the run."""
+def run_als(lake: Lake, blocks: int = training.ALS_BLOCKS, seed: int = 42) -> dict[str, float]:
+    """Train and score the recommender; save it and log the run with all it takes to repeat it."""
     pairs = complete_rows(lake.read(lake.pairs).select("user_id", "item_id", "rating"))
-    train, test = hash_split(pairs, training.PAIR)
-    model = training.fit_als(train)
+    train, test = (stage(part, "als-split") for part in hash_split(pairs, training.PAIR))
+    model = training.fit_als(train, seed=seed, blocks=blocks)
     scored = model.transform(test)
     metrics = regression_metrics(scored, "rating", "prediction").select("rmse", "mae").first().asDict()
     artifact = lake.path(f"{lake.models}/als")
     training.save_model(model, artifact)
-    _log(lake, "ALS", {"dataset": lake.pairs, **training.ALS_SETTINGS}, metrics, artifact)
+    settings = {
+        "model": "ALS",
+        "dataset": lake.pairs,
+        **training.ALS_SETTINGS,
+        "nonnegative": True,
+        "coldStartStrategy": "drop",
+        "seed": seed,
+        "blocks": blocks,
+        "train_rows": train.count(),
+        "test_rows": test.count(),
+    }
+    _log(lake, "ALS", settings, metrics, artifact)
     return metrics
 
 
@@ -141,12 +168,13 @@ def run_regression(lake: Lake) -> str:
     """
     table = lake.read(lake.features)
     train, test = (stage(part, "split") for part in training.labelled(table))
+    counts = {"train_rows": train.count(), "test_rows": test.count()}
     trained = []
     for name, (_, settings) in training.REGRESSORS.items():
         result = training.train_regressor(train, test, name)
         artifact = lake.path(f"{lake.models}/{name.lower().replace(' ', '_')}")
         training.save_model(result.model, artifact)
-        _log(lake, name, {"dataset": lake.features, **settings}, result.metrics, artifact)
+        _log(lake, name, {"model": name, "dataset": lake.features, **settings, **counts}, result.metrics, artifact)
         trained.append(result)
     lake.write(training.comparison_table(lake.spark, trained), lake.comparison, replace_schema=True)
     slots = [wire_slot(slot) for slot in features.slot_names(table)]
@@ -155,17 +183,20 @@ def run_regression(lake: Lake) -> str:
     return training.best_of(trained).name
 
 
-def run_views(lake: Lake, n: int = 15, min_ratings: int = gold.MIN_RATINGS, model: str | None = None) -> None:
-    """Print every view; tables not built yet are named and passed over."""
+def run_views(
+    lake: Lake, n: int = 15, min_ratings: int = gold.MIN_RATINGS, model: str | None = None, preview: int = 20
+) -> None:
+    """Write every view whole under ``views/`` and print its first ``preview`` rows; tables
+    not built yet are named and passed over."""
     spark = lake.spark
 
-    def show(title: str, table: str, view, schema=None, rows: int = 100) -> None:
+    def show(title: str, table: str, view, schema=None) -> None:
         df = safe_read_table(spark, lake.path(table), schema, lake.fmt)
         print(f"== {title}")
         if is_empty(df):
             print(f"   {table} is missing or empty")
         else:
-            view(df).show(rows, truncate=False)
+            _publish(lake, title.lower().replace(" ", "_"), view(df), preview)
 
     show("Most rated items", lake.most_rated, lambda df: views.most_rated_items(df, n), ITEM_RANKING_SCHEMA)
     show(

@@ -16,7 +16,7 @@ from pyspark.ml.regression import (
     LinearRegression,
     RandomForestRegressor,
 )
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starledger.operators.complete import complete_rows
@@ -114,10 +114,15 @@ def train_regressor(
     return Trained(name, model, metrics.asDict())
 
 
+def training_place() -> Column:
+    """The place of ``model_name`` among ``REGRESSORS``, which settles ties of the rmse."""
+    return F.array_position(F.array(*[F.lit(name) for name in REGRESSORS]), F.col("model_name"))
+
+
 def comparison_table(spark: SparkSession, trained: list[Trained]) -> DataFrame:
     """One row per model, least rmse first."""
     rows = [(t.name, t.metrics["rmse"], t.metrics["mae"], t.metrics["r2"]) for t in trained]
-    return spark.createDataFrame(rows, COMPARISON_SCHEMA).orderBy("rmse", "model_name")
+    return spark.createDataFrame(rows, COMPARISON_SCHEMA).orderBy("rmse", training_place(), "model_name")
 
 
 def importance_table(spark: SparkSession, trained: list[Trained], slots: list[str]) -> DataFrame:

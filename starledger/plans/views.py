@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starledger.operators.sampling import hash_sample
+from starledger.plans.training import training_place
 
 SCATTER_ROWS = 2_000
 
@@ -42,8 +43,8 @@ def tags_by_mean(stats: DataFrame) -> DataFrame:
 
 
 def best_model(comparison: DataFrame) -> DataFrame:
-    """The model with the least rmse, figures rounded for display."""
-    best = top_n(comparison, 1, "rmse", "model_name")
+    """The model with the least rmse, the first trained on a tie; figures rounded for display."""
+    best = top_n(comparison, 1, "rmse", training_place(), "model_name")
     return best.select("model_name", *[F.round(m, 4).alias(m) for m in ("rmse", "mae", "r2")])
 
 

@@ -8,16 +8,6 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 
 TABLES = Path("/root/testdata/sf0.001")
-# Trained with their full settings; run by check.py and bench.py.
-SLOW = {
-    "reg_forest",
-    "reg_gbt",
-    "model_comparison",
-    "feature_importance",
-    "importance_for_model",
-    "best_predictions",
-    "run_log",
-}
 pytestmark = pytest.mark.skipif(not TABLES.exists(), reason="no test tables here")
 
 
@@ -45,7 +35,7 @@ def test_query_matches_sql(spark, duck, name):
         assert unwanted not in plan
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - set(oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(queries()) - set(oracle_sql())))
 def test_query_without_sql_gives_rows(spark, name):
     assert queries()[name](spark, str(TABLES)).count() > 0
 

@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from starledger.operators.sampling import hash_split
 from starledger.plans import jobs, training
 
 
@@ -95,15 +96,38 @@ def test_training_jobs(lake, spark, capsys):
     assert lake.read(lake.run_log).select("run_id").distinct().count() == 6
 
     jobs.run_inspect(lake)
-    jobs.run_views(lake, model="GBT Regressor")
+    jobs.run_views(lake, model="GBT Regressor", preview=3)
     shown = capsys.readouterr().out
     assert "missing" not in shown and best in shown
+    # Views are stored whole, whatever is printed.
+    whole = spark.read.parquet(lake.path("views/predicted_and_residual")).count()
+    assert whole == lake.read(lake.predictions).count() > 3 and f"{whole} rows" in shown
+
+    logged = {(r.run_name, r.key): r.value for r in lake.read(lake.run_log).filter("kind = 'param'").collect()}
+    assert logged["ALS", "blocks"] == "10" and logged["ALS", "seed"] == "42" and logged["ALS", "nonnegative"] == "True"
+    pairs = lake.read(lake.pairs).count()
+    assert int(logged["ALS", "train_rows"]) + int(logged["ALS", "test_rows"]) == pairs
+    assert logged["GBT Regressor", "train_rows"] == logged["ALS", "train_rows"]
 
     # Rerunning replaces tables and appends runs.
     jobs.run_gold(lake)
     assert lake.read(lake.user_activity).count() == 40
 
 
+def test_features_of_the_training_folds_alone(lake):
+    ratings = lake.read(lake.enriched)
+    train = ratings.join(hash_split(lake.read(lake.pairs), training.PAIR)[0].select(*training.PAIR), training.PAIR, "left_semi")
+    want = {r.user_id: r["count"] for r in train.groupBy("user_id").count().collect()}
+    whole = lake.read(lake.features).count()
+    jobs.run_features(lake, train_only=True)
+    try:
+        rows = lake.read(lake.features).select("user_id", "user_rating_count").collect()
+        assert len(rows) == whole
+        assert all(r.user_rating_count == want.get(r.user_id, 0) for r in rows)
+    finally:
+        jobs.run_features(lake)
+
+
 def test_views_of_an_empty_lake(spark, tmp_path, capsys):
     jobs.run_views(jobs.Lake(spark, str(tmp_path)))
     assert capsys.readouterr().out.count("is missing or empty") == 13
