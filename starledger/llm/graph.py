@@ -31,8 +31,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while before["n"]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = both.join(_lowest(both), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.distinct()
-        low = _lowest(large)
+        low = _lowest(large)  # repeated edges do no harm until the round is written
         small = large.join(low, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = stage(small.unionByName(low.select("u", F.col("m").alias("v"))).filter("u > v").distinct(), "edges")
         after = _print(edges)

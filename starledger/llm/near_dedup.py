@@ -32,8 +32,10 @@ SKETCH_LONGS = 8
 #: Two sketches of sets with a similarity of 0.8 differ in 69 bits on average, with a
 #: standard deviation of 10; of unlike sets in 202. More than this and the pair is left out.
 SKETCH_LIMIT = 150
-#: Sets in a tile, where what a bucket holds of different components is compared.
-TILE = 256
+#: Sets in a tile, and shingles in it, where what a bucket holds of different components is
+#: compared. Every set goes to as many tasks as its bucket has tiles, so tiles are as large
+#: as memory allows: a task holds two of them and a matrix of TILE x TILE counts.
+TILE, TILE_SHINGLES = 1024, 1 << 19
 
 
 def shingles(texts: list[bytes], width: int) -> list[np.ndarray]:
@@ -143,20 +145,22 @@ def _plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _across_components(held: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between different components of each bucket; held (band, id, component,
-    size, set).
+    tiles, set).
 
-    A bucket is dealt into tiles of about ``TILE`` sets; two tiles meet in one task, where
+    A bucket is dealt into its number of tiles; two tiles meet in one task, where
     intersections are counted as products of incidence matrices. A task returns no more
     links than join its components, so the output is linear in the bucket.
     """
-    tiles = F.greatest(F.ceil(F.col("size") / TILE), F.lit(1)).cast("int")
+    tiles = F.col("tiles")
     dealt = held.withColumn("tile", F.pmod(F.xxhash64("id"), tiles).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
     dealt = dealt.select("band", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "id", "component", "set")
 
     def compare(table: pa.Table) -> pa.Table:
         ids, parts, tile = (table.column(c).to_pylist() for c in ("id", "component", "tile"))
-        sets = [np.sort(np.asarray(x, np.int64)) for x in table.column("set").to_pylist()]
+        lists = table.column("set").combine_chunks()
+        values, edges = lists.values.to_numpy(), lists.offsets.to_numpy()
+        sets = [np.sort(values[k:m]) for k, m in zip(edges[:-1], edges[1:])]
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         left = [k for k, t in enumerate(tile) if t == i]
         right = [k for k, t in enumerate(tile) if t == j]
@@ -170,7 +174,9 @@ def _across_components(held: DataFrame, percent: int) -> DataFrame:
                 c = root[c]
             return c
 
-        for x, y in zip(*np.nonzero(100 * common >= percent * union)):
+        known = np.unique(parts, return_inverse=True)[1]  # components as small numbers
+        apart = known[left][:, None] != known[right][None, :]
+        for x, y in zip(*np.nonzero((100 * common >= percent * union) & apart)):
             p, q = left[x], right[y]
             cp, cq = find(parts[p]), find(parts[q])
             if cp != cq:
@@ -189,8 +195,8 @@ def _intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarra
         return np.zeros((len(left), len(right)), np.int64)
     values = np.intersect1d(np.concatenate(left), np.concatenate(right))
     total = np.zeros((len(left), len(right)), np.int64)
-    for k in range(0, len(values), 8192):
-        part = values[k : k + 8192]
+    for k in range(0, len(values), 4096):
+        part = values[k : k + 4096]
         one, other = (_incidence(side, part) for side in (left, right))
         total += (one @ other.T).astype(np.int64)
     return total
@@ -226,7 +232,7 @@ def near_duplicates(
     sets = linked.join(heads, "doc_id", "left_semi").select(
         F.col("doc_id").alias("id"), "n_shingles", "sketch", "bands"
     )
-    buckets = sets.select("id", F.explode("bands").alias("band")).distinct()
+    buckets = sets.select("id", "n_shingles", F.explode("bands").alias("band")).distinct()
     # The centre of a bucket is drawn by hash, so that a set meets many centres.
     centres = buckets.groupBy("band").agg(
         F.min_by("id", F.xxhash64("band", "id")).alias("centre"), F.count(F.lit(1)).alias("n")
@@ -244,11 +250,14 @@ def near_duplicates(
     merged = components(links[0])
     # Buckets that still hold several components: every pair across them, none within.
     held = shared.join(merged.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = held.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("size")).filter("x < y").select("band", "size")
-    held = stage(held.join(mixed, "band").select("band", "id", "component", "size"), "apart")
+    tiles = F.ceil(F.greatest(F.count(F.lit(1)) / TILE, F.sum("n_shingles") / TILE_SHINGLES)).cast("int")
+    mixed = held.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"), tiles.alias("tiles")).filter("x < y").select("band", "tiles")
+    held = stage(held.join(mixed, "band").select("band", "id", "component", "tiles"), "apart")
     if not held.isEmpty():
         links.append(stage(_across_components(held.join(full, "id"), percent), "links"))
-        merged = components(links[0].unionByName(links[1]))
+        # Nodes of the first links are stars already, which saves rounds.
+        stars = merged.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+        merged = components(stars.unionByName(links[1]))
     # One node for an id that has several sets: their heads are linked through it.
     heads_of = member.join(merged.withColumnRenamed("node", "id"), "id", "left").select(
         "doc_id", F.coalesce("component", "id").alias("component_id")
