@@ -21,6 +21,7 @@ from starledger.llm.common import having_ids, is_small, map_slices, text_bytes
 from starledger.llm.graph import components
 from starledger.llm.hashing import mix, numbers, word_hashes
 from starledger.llm.tokens import bound_batches
+from starledger.operators.joins import salted_join
 from starledger.session import stage
 
 #: Samples = bands x rows. At a similarity of 0.8 a pair shares no band with a chance of
@@ -226,8 +227,11 @@ def near_duplicates(
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     rows = stage(signatures(docs, width), "signatures")
     linked = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = linked.groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("id"))
-    member = stage(linked.select("doc_id", "f1", "f2", "n_shingles").join(classes, ["f1", "f2", "n_shingles"]).select("doc_id", "id").distinct(), "members")
+    of_set = linked.select("doc_id", F.struct("f1", "f2", "n_shingles").alias("_set"))
+    classes = stage(of_set.groupBy("_set").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("n")), "classes")
+    # A set that many documents have is cut into slices.
+    member = salted_join(of_set, classes.select("_set", "id"), "_set", "inner", classes.select("_set", "n"))
+    member = stage(member.select("doc_id", "id").distinct(), "members")
     heads = member.filter("doc_id = id").select("doc_id")
     sets = linked.join(heads, "doc_id", "left_semi").select(
         F.col("doc_id").alias("id"), "n_shingles", "sketch", "bands"
