@@ -23,6 +23,9 @@ def parse() -> argparse.Namespace:
     bronze.add_argument("--topic", default="movie-ratings")
     bronze.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
     bronze.add_argument("--once", action="store_true", help="stop when present data is read")
+    bronze.add_argument("--interval", help="time between batches, such as '5 minutes'")
+    bronze.add_argument("--by-date", action="store_true", help="partition the table by date of ingest")
+    bronze.add_argument("--rejects", action="store_true", help="also keep the text of unreadable records")
 
     inspect = sub.add_parser("inspect", help="show what bronze holds")
     inspect.add_argument("--preview", type=int, default=20, help="rows to print")
@@ -52,7 +55,14 @@ def main() -> None:
             if not args.servers:
                 raise SystemExit("a Kafka source needs --servers")
             options = kafka_options(args.servers, args.topic, **options)
-        jobs.run_bronze(lake, args.source, options, args.path, args.once).awaitTermination()
+        how = {"path": args.path, "once": args.once, "interval": args.interval}
+        streams = [jobs.run_bronze(lake, args.source, options, by_date=args.by_date, **how)]
+        if args.rejects:
+            streams.append(jobs.run_rejects(lake, args.source, options, **how))
+        if not args.once:
+            lake.spark.streams.awaitAnyTermination()  # either stream's error ends the job
+        for stream in streams:
+            stream.awaitTermination() if args.once else stream.stop()
     elif args.job == "inspect":
         jobs.run_inspect(lake, args.preview)
     elif args.job == "silver":

@@ -172,6 +172,11 @@ ORACLES = {
         """SELECT CASE event_type WHEN 'error' THEN '#' || good ELSE no_number END AS record
            FROM records WHERE event_type IN ('error', 'signup')""",
     ),
+    "stream_rejects": _sql(
+        ["ev", "records"],
+        """SELECT CASE event_type WHEN 'error' THEN '#' || good ELSE no_number END AS record
+           FROM records WHERE event_type IN ('error', 'signup')""",
+    ),
     "csv_dim_scan": _sql(["items"], _EVERY_COLUMN.format("items")),
     "write_roundtrip": _sql(_SILVER, _SILVER_ROWS),
     "schema_replace": _sql(

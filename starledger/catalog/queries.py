@@ -80,6 +80,17 @@ def json_encode(spark: SparkSession, d: str) -> DataFrame:
     return inputs.events(spark, d).select("event_id", encode_event().alias("record"))
 
 
+def stream_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """Rejects streamed to a table, with a restart that adds nothing."""
+    records = inputs.record_files(spark, d)
+    rejects, checkpoint = fresh_path(spark, "rejects"), fresh_path(spark, "rejects-checkpoint")
+    for _ in range(2):
+        raw = ingest.open_stream(spark, "text", path=records)
+        stream = ingest.dated_rejects(raw, "_metadata.file_modification_time")
+        ingest.append_stream(stream, rejects, checkpoint, once=True).awaitTermination()
+    return spark.read.parquet(rejects).filter("source_time IS NOT NULL").select("record")
+
+
 def ingest_rejects(spark: SparkSession, d: str) -> DataFrame:
     return ingest.rejected_records(inputs.event_records(spark, d))
 
@@ -463,6 +474,7 @@ QUERIES = {
     "json_parse": json_parse,
     "json_encode": json_encode,
     "ingest_rejects": ingest_rejects,
+    "stream_rejects": stream_rejects,
     "csv_dim_scan": csv_dim_scan,
     "write_roundtrip": write_roundtrip,
     "schema_replace": schema_replace,

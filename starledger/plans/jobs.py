@@ -41,6 +41,9 @@ class Lake:
     # The folders of the published tables.
     bronze = "bronze/ratings"
     bronze_checkpoint = "bronze/checkpoints/ratings"
+    # Not published by the original: the text of records that could not be read.
+    rejects = "bronze/rejects"
+    rejects_checkpoint = "bronze/checkpoints/rejects"
     enriched = "silver/ratings_enriched"
     items = "silver/items"
     most_rated = "gold/most_rated_movies"
@@ -67,13 +70,52 @@ class Lake:
 
 
 def run_bronze(
-    lake: Lake, source: str, options: Mapping[str, str], path: str | None = None, once: bool = False
+    lake: Lake,
+    source: str,
+    options: Mapping[str, str],
+    path: str | None = None,
+    once: bool = False,
+    interval: str | None = None,
+    by_date: bool = False,
 ) -> StreamingQuery:
-    """Start the stream from any source into the bronze table."""
+    """Start the stream from any source into the bronze table.
+
+    ``by_date`` partitions the table by ``ingest_date``, the date of the batch.
+    """
     raw = ingest.open_stream(lake.spark, source, options, path)
     events = to_wire(ingest.parse_events(raw))
+    if by_date:
+        events = events.withColumn("ingest_date", F.current_date())
+    return ingest.append_stream(
+        events,
+        lake.path(lake.bronze),
+        lake.path(lake.bronze_checkpoint),
+        lake.fmt,
+        partition_by=["ingest_date"] if by_date else (),
+        once=once,
+        interval=interval,
+    )
+
+
+def run_rejects(
+    lake: Lake,
+    source: str,
+    options: Mapping[str, str],
+    path: str | None = None,
+    once: bool = False,
+    interval: str | None = None,
+) -> StreamingQuery:
+    """Start a second stream that appends the text and source time of unreadable records,
+    with a checkpoint of its own. The time is the record's in Kafka, the file's elsewhere."""
+    raw = ingest.open_stream(lake.spark, source, options, path)
+    time = "timestamp" if source == "kafka" else "_metadata.file_modification_time"
     return ingest.append_stream(
-        events, lake.path(lake.bronze), lake.path(lake.bronze_checkpoint), lake.fmt, once=once
+        ingest.dated_rejects(raw, time),
+        lake.path(lake.rejects),
+        lake.path(lake.rejects_checkpoint),
+        lake.fmt,
+        once=once,
+        interval=interval,
     )
 
 

@@ -45,12 +45,23 @@ def rejected_records(raw: DataFrame, payload: str = "value") -> DataFrame:
     The parsed event is named once, as an array of one, so that a filter pushed to the
     source parses each record once and not once per field.
     """
+    return _rejects(raw, payload).select(F.col(payload).cast("string").alias("record"))
+
+
+def dated_rejects(raw: DataFrame, time: str, payload: str = "value") -> DataFrame:
+    """Rejected records with ``source_time``: the source's column named by ``time``."""
+    return _rejects(raw, payload).select(
+        F.col(payload).cast("string").alias("record"), F.col(time).cast("timestamp").alias("source_time")
+    )
+
+
+def _rejects(raw: DataFrame, payload: str) -> DataFrame:
     required = wire_schema(EVENT_SCHEMA).names
     incomplete = F.exists(
         F.array(parse_event(F.col(payload))),
         lambda event: reduce(lambda a, b: a | b, [event[name].isNull() for name in required]),
     )
-    return raw.filter(incomplete).select(F.col(payload).cast("string").alias("record"))
+    return raw.filter(incomplete)
 
 
 def drop_replays(
@@ -65,8 +76,15 @@ def drop_replays(
 
     Spark discards rows later than ``delay``, so this is for consumers of the stream.
     The bronze table keeps every record and cleaning removes all its replays.
+
+    State holds each key of the last ``delay`` once, and once more for each lane that it
+    arrived in. ``lanes=1`` leaves the first step out: least state and one shuffle, but all
+    copies of a key meet in one task.
     """
-    timed = events.withWatermark(event_time, delay).withColumn("_lane", F.spark_partition_id() % lanes)
+    timed = events.withWatermark(event_time, delay)
+    if lanes == 1:
+        return timed.dropDuplicatesWithinWatermark(list(keys))
+    timed = timed.withColumn("_lane", F.spark_partition_id() % lanes)
     within = timed.dropDuplicatesWithinWatermark([*keys, "_lane"]).drop("_lane")
     return within.dropDuplicatesWithinWatermark(list(keys))
 
@@ -78,15 +96,19 @@ def append_stream(
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
     once: bool = False,
+    interval: str | None = None,
 ) -> StreamingQuery:
     """Append to a table, each batch exactly once; a restart resumes at the checkpoint.
 
-    Runs for ever, batch after batch, unless ``once`` asks it to stop when the data
-    present at the start has been read.
+    Runs for ever, unless ``once`` asks it to stop when the data present at the start has
+    been read. A batch starts every ``interval`` ("5 minutes"), which keeps files large, or
+    else as soon as the one before has ended.
     """
     writer = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if once:
         writer = writer.trigger(availableNow=True)
+    elif interval:
+        writer = writer.trigger(processingTime=interval)
     return writer.start(path)

@@ -1,7 +1,7 @@
 from conftest import tuples
 from pyspark.sql import functions as F
 
-from starledger.plans import silver
+from starledger.plans import jobs, silver
 from starledger.streaming import ingest
 
 
@@ -91,3 +91,40 @@ def test_kafka_options():
         "startingOffsets": "earliest",
         "maxOffsetsPerTrigger": "5",
     }
+
+
+def test_rejects_keep_text_and_time_and_restart_adds_nothing(spark, tmp_path):
+    _put(tmp_path / "in", "a.txt", [_record(1, 1, 1.0, 0), "broken", '{"userId":1}'])
+    lake = jobs.Lake(spark, str(tmp_path / "lake"))
+    for _ in range(2):
+        for start in (jobs.run_bronze, jobs.run_rejects):
+            start(lake, "text", {}, str(tmp_path / "in"), once=True).awaitTermination()
+    rejects = spark.read.parquet(lake.path(lake.rejects))
+    assert sorted(r.record for r in rejects.collect()) == ["broken", '{"userId":1}']
+    assert rejects.filter("source_time IS NULL").isEmpty()
+    assert lake.read(lake.bronze).count() == 3
+
+
+def test_bronze_by_date_at_intervals_is_read_as_before(spark, tmp_path):
+    _put(tmp_path / "in", "a.txt", [_record(1, n, 1.0, n) for n in range(5)])
+    lake = jobs.Lake(spark, str(tmp_path / "lake"))
+    query = jobs.run_bronze(lake, "text", {}, str(tmp_path / "in"), interval="1 second", by_date=True)
+    query.processAllAvailable()
+    query.stop()
+    bronze = lake.read(lake.bronze)
+    assert bronze.select("ingest_date").distinct().count() == 1
+    assert silver.clean_ratings(bronze).count() == 5
+
+
+def test_one_lane_is_one_state_operator(spark, tmp_path):
+    _put(tmp_path / "in", "a.txt", [_record(1, 1, 1.0, 5000)] * 3)
+    counts = {}
+    for lanes in (1, 4):
+        events = ingest.parse_events(ingest.open_stream(spark, "text", path=str(tmp_path / "in")))
+        timed = events.withColumn("at", F.timestamp_seconds("ts"))
+        once = ingest.drop_replays(timed, ["user_id", "item_id", "ts"], "at", "1 hour", lanes=lanes)
+        query = ingest.append_stream(once, str(tmp_path / f"out{lanes}"), str(tmp_path / f"cp{lanes}"), once=True)
+        query.awaitTermination()
+        assert spark.read.parquet(str(tmp_path / f"out{lanes}")).count() == 1
+        counts[lanes] = max(len(p["stateOperators"]) for p in query.recentProgress)
+    assert counts == {1: 1, 4: 2}
