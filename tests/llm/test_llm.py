@@ -194,3 +194,13 @@ def test_swapped_names_lose_their_weight():
 @pytest.mark.parametrize("operator", [near_duplicates, remove_repeats])
 def test_empty_tables_give_empty_results(spark, operator):
     assert operator(spark.createDataFrame([], "doc_id bigint, text string")).isEmpty()
+
+
+def test_a_set_that_most_documents_have_is_one_component(spark):
+    """The hot set is cut into slices when documents join their set's class."""
+    words = " ".join(f"w{i}" for i in range(30))
+    rows = [(i, words if i % 5 else f"own text of number {i} alone") for i in range(1, 101)]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4), width=4)
+    assert {r.doc_id: (r.component_id, r.kept) for r in got.collect()} == {
+        i: (1, i == 1) if i % 5 else (i, True) for i in range(1, 101)
+    }
