@@ -22,13 +22,13 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN_LEAST = 6
-#: Strings that are tested for randomness.
-TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
+#: Strings that are tested for randomness. '=' only pads the end, so NAME=VALUE is two of them.
+TOKEN = r"[A-Za-z0-9+/_-]{20,}=*"
 
 
 @dataclass(frozen=True)
 class Encoding:
-    """An alphabet, the pattern of a string written in it, and how far from uniform natural
+    """An alphabet, the pattern of a string written in it without padding, and how far from uniform natural
     strings of it are: ``excess`` is K * sum(q^2) - 1 for their character shares q."""
 
     name: str
@@ -42,9 +42,9 @@ _UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvw
 ENCODINGS = (
     Encoding("decimal", r"^[0-9]+$", _DIGITS, 0.0),
     Encoding("hex", r"^([0-9a-f]+|[0-9A-F]+)$", _DIGITS + "abcdef", 0.6),
-    Encoding("base32", r"^[A-Z2-7]+=*$", _UPPER + "234567", 1.1),
+    Encoding("base32", r"^[A-Z2-7]+$", _UPPER + "234567", 1.1),
     Encoding("base36", r"^([0-9a-z]+|[0-9A-Z]+)$", _DIGITS + _LOWER, 1.3),
-    Encoding("base64", r"^[A-Za-z0-9+/_-]+=*$", _UPPER + _LOWER + _DIGITS + "+/", 3.2),
+    Encoding("base64", r"^[A-Za-z0-9+/_-]+$", _UPPER + _LOWER + _DIGITS + "+/", 3.2),
 )
 #: A random string passes all four tests with a probability of at least 1 - 4 * ALPHA.
 ALPHA = 0.001
@@ -112,7 +112,7 @@ def battery(token: Column) -> Column:
     bare = F.rtrim(token, F.lit("="))
     result = F.lit(None)
     for code in reversed(ENCODINGS):
-        result = F.when(token.rlike(code.pattern), _counted(bare, code)).otherwise(result)
+        result = F.when(bare.rlike(code.pattern), _counted(bare, code)).otherwise(result)
     return result
 
 

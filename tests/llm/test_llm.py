@@ -155,6 +155,17 @@ def test_secret_spans_and_random_strings(spark):
     assert clean[3] == "see [SECRET] end" and clean[0] is None and clean[4] == texts[4]
 
 
+def test_random_values_after_an_equals_sign_are_found(spark):
+    rnd = random.Random(2)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    names = ("AWS_SECRET_ACCESS_KEY=", "SECRET_KEY=", "export A_NAME_OF_THIRTY_CHARACTERS_=", "https://x.y/z?key=", "K==")
+    values = ["".join(rnd.choice(letters) for _ in range(40)) for _ in names]
+    rows = [(i, f"{n}{v}{'=' * (i % 3)} # é") for i, (n, v) in enumerate(zip(names, values))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    clean = {r.doc_id: r.text for r in secrets.redact(df).collect()}
+    assert clean == {i: f"{n}[SECRET] # é" for i, n in enumerate(names)}
+
+
 def test_quality_measures(spark):
     text = "the cat sat # the cat sat\n\nthe cat sat\nthe cat sat\n"
     df = spark.createDataFrame([(1, text), (2, None)], "doc_id bigint, text string")
