@@ -7,6 +7,7 @@ same pattern, give positions as running sums of lengths.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -28,27 +29,39 @@ TOKEN = r"[A-Za-z0-9+/_-]{20,}=*"
 
 @dataclass(frozen=True)
 class Encoding:
-    """An alphabet, the pattern of a string written in it without padding, and how far from uniform natural
-    strings of it are: ``excess`` is K * sum(q^2) - 1 for their character shares q."""
+    """An alphabet, the pattern of a string written in it without padding, and what tells
+    natural strings of it from random ones.
+
+    ``evenness``: K * sum(q^2) - 1 for their character shares q is ``excess``. ``mixing``: they
+    seldom change between digits and letters. ``letters``: their letters are those of words.
+    Empty: nothing does.
+    """
 
     name: str
     pattern: str
     alphabet: str
-    excess: float
+    natural: tuple[str, ...]
+    excess: float = 0.0
 
 
 _UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
-#: The first that fits counts. Letters of prose have a sum of squared shares of about 0.065.
+#: The first that fits counts.
 ENCODINGS = (
-    Encoding("decimal", r"^[0-9]+$", _DIGITS, 0.0),
-    Encoding("hex", r"^([0-9a-f]+|[0-9A-F]+)$", _DIGITS + "abcdef", 0.6),
-    Encoding("base32", r"^[A-Z2-7]+$", _UPPER + "234567", 1.1),
-    Encoding("base36", r"^([0-9a-z]+|[0-9A-Z]+)$", _DIGITS + _LOWER, 1.3),
-    Encoding("base64", r"^[A-Za-z0-9+/_-]+$", _UPPER + _LOWER + _DIGITS + "+/", 3.2),
+    Encoding("decimal", r"^[0-9]+$", _DIGITS, ()),
+    Encoding("hex", r"^([0-9a-f]+|[0-9A-F]+)$", _DIGITS + "abcdef", ("mixing",)),
+    Encoding("base32", r"^[A-Z2-7]+$", _UPPER + "234567", ("mixing", "letters")),
+    Encoding("base36", r"^([0-9a-z]+|[0-9A-Z]+)$", _DIGITS + _LOWER, ("mixing", "letters")),
+    Encoding("base64", r"^[A-Za-z0-9+/_-]+$", _UPPER + _LOWER + _DIGITS + "+/", ("evenness",), 3.2),
 )
+#: Chance that a natural string changes between digits and letters from one place to the next.
+CHANGES = 0.1
+#: Per mille of each letter in prose, a mean of European languages; rare ones are raised to 5.
+PROSE = dict(zip(_LOWER, (81, 15, 30, 40, 140, 14, 17, 35, 75, 5, 8, 45, 25, 80, 60, 24, 5, 68, 70, 72, 40, 12, 14, 5, 11, 9)))
+#: Letters of a word depend on each other, so their sum varies more than single draws would.
+DEPENDENCE = 2.0
 #: A random string passes all four tests with a probability of at least 1 - 4 * ALPHA.
 ALPHA = 0.001
-#: Share of false finds aimed at among the finds of the randomness tests.
+#: Share of false finds aimed at among the finds of the randomness tests, per encoding.
 FALSE_DISCOVERIES = 0.01
 #: p-values are counted in steps of 10^(-1/20), down to 10^-40.
 STEPS, MOST_STEPS = 20, 800
@@ -105,9 +118,10 @@ def battery(token: Column) -> Column:
 
     ``p_random``: the least p-value of four tests of "every character is drawn evenly
     from the alphabet": chi-squared uniformity, runs above and below the middle of the
-    alphabet, correlation of neighbours, the share of digits. ``p_text``: how likely a natural string of this
-    length is to be so even. It shrinks with the length; a short string cannot reach a
-    small value.
+    alphabet, correlation of neighbours, the share of digits. ``p_text``: how likely a natural
+    string of this length is to be so even, or, where that says little at the length of
+    keys, to mix digits and letters so much and have letters so rare. It shrinks with the
+    length; a short string cannot reach a small value.
     """
     bare = F.rtrim(token, F.lit("="))
     result = F.lit(None)
@@ -138,6 +152,16 @@ def _counted(bare: Column, code: Encoding) -> Column:
             (a.lag + F.when(a["last"] < 0, 0.0).otherwise(a["last"] * v)).alias("lag"),
         )
 
+    lower = F.lower(bare)
+    weights = F.array(*[F.lit(w) for w in _rarity()])
+
+    def rarity(total: Column, letter: Column) -> Column:
+        rest = F.char_length(F.replace(lower, letter, F.lit("")))
+        at = F.instr(F.lit(_LOWER), letter)
+        return total + F.when(at > 0, (F.char_length(lower) - rest) * F.get(weights, at - 1)).otherwise(0.0)
+
+    nothing = F.lit(0.0)
+    mixing, by_letters = "mixing" in code.natural, "letters" in code.natural
     chi = k * F.aggregate(F.array_distinct(letters), F.lit(0.0), squared_count) / n - n
     values = F.transform(letters, lambda c: (F.instr(F.lit(code.alphabet), c) - 1).cast("double"))
     start = F.struct(F.lit(-1.0).alias("last"), *[F.lit(0.0).alias(c) for c in ("high", "runs", "s", "ss", "lag")])
@@ -151,9 +175,36 @@ def _counted(bare: Column, code: Encoding) -> Column:
         F.aggregate(values, start, walk).alias("walk"),
         (n - F.char_length(F.regexp_replace(plain, "[0-9]", ""))).alias("digits"),
         F.lit(sum(c.isdigit() for c in code.alphabet) / k).alias("digit_share"),
+        (F.regexp_count(lower, F.lit("(?<=[0-9])[a-z]|(?<=[a-z])[0-9]")).cast("double") if mixing else nothing).alias("changes"),
+        (F.aggregate(F.array_distinct(F.split(lower, "")), nothing, rarity) if by_letters else nothing).alias("rarity"),
+        F.lit(mixing).alias("by_mixing"),
+        F.lit(by_letters).alias("by_letters"),
     )
 
 
+def _rarity() -> list[float]:
+    """Per letter a to z the log of how much rarer it is in prose than in even draws."""
+    total = sum(PROSE.values())
+    return [math.log(total / (26 * n)) for n in PROSE.values()]
+
+
+def _p_changes(changes: Column, places: Column) -> Column:
+    """About P(X >= changes) for X binomial in ``places`` with ``CHANGES``: signed root of the
+    likelihood ratio, half a change lower as X is whole."""
+    x = F.greatest(changes - 0.5, F.lit(0.0)) / places
+    ratio = F.when(x > 0, x * F.log(F.greatest(x, F.lit(1e-300)) / CHANGES)).otherwise(0.0) + (1 - x) * F.log((1 - x) / (1 - CHANGES))
+    z = F.sqrt(F.greatest(2 * places * ratio, F.lit(0.0)))
+    return F.when(x > CHANGES, normal_cdf(-z)).otherwise(normal_cdf(z))
+
+
+def _p_letters(rarity: Column, n: Column) -> Column:
+    """How likely ``n`` letters of prose are to be so rare in sum."""
+    shares, weights = [c / sum(PROSE.values()) for c in PROSE.values()], _rarity()
+    mean = sum(q * w for q, w in zip(shares, weights))
+    spread = sum(q * w * w for q, w in zip(shares, weights)) - mean * mean
+    return normal_cdf(-(rarity - n * mean) / F.sqrt(F.greatest(n, F.lit(1.0)) * (DEPENDENCE * spread)))
+
+
 def _p_values(r: Column) -> Column:
     """(encoding, p_random, p_text) from what ``battery`` has counted."""
     n, w = r.n, r.walk
@@ -169,8 +220,16 @@ def _p_values(r: Column) -> Column:
     )
     # Natural strings: chi-squared with a shift of n * excess.
     shift = n * r.excess
-    z_text = (r.chi - (r.k - 1) - shift) / F.sqrt(2 * (r.k - 1) + 4 * shift)
-    p_text = F.when(r.excess == 0, 1.0).otherwise(normal_cdf(z_text))
+    p_even = normal_cdf((r.chi - (r.k - 1) - shift) / F.sqrt(2 * (r.k - 1) + 4 * shift))
+    # Two tests count by the product of their values, whose own law is x * (1 - log(x)).
+    p_mixed = _p_changes(r.changes, n - 1)
+    both = F.greatest(p_mixed * _p_letters(r.rarity, n - r.digits), F.lit(1e-300))
+    p_text = (
+        F.when(r.by_letters, both * (1 - F.log(both)))
+        .when(r.by_mixing, p_mixed)
+        .when(r.excess > 0, p_even)
+        .otherwise(1.0)
+    )
     return F.struct(r.encoding.alias("encoding"), p_random.alias("p_random"), p_text.alias("p_text"))
 
 
@@ -206,22 +265,26 @@ def _step(p: Column) -> Column:
     return F.least(F.floor(-F.log10(F.greatest(p, F.lit(1e-300))) * STEPS), F.lit(MOST_STEPS)).cast("int")
 
 
-def discovery_step(scanned: DataFrame, level: float = FALSE_DISCOVERIES) -> int:
-    """The least step of p at which the expected share of false finds is within ``level``.
+def discovery_steps(scanned: DataFrame, level: float = FALSE_DISCOVERIES) -> dict[str, int]:
+    """Per encoding the least step of p at which the expected share of false finds is within
+    ``level``.
 
-    The step-up rule over all strings tested in all documents: with m tested and N at or
-    below p, p is allowed when p * m <= level * N. Counts by step are at most
-    ``MOST_STEPS`` + 1 rows.
+    The step-up rule over all strings of an encoding in all documents: with m tested and N
+    at or below p, p is allowed when p * m <= level * N. Long words of one encoding so cost
+    the others nothing. Counts by step are at most ``MOST_STEPS`` + 1 rows per encoding.
     """
-    counts = scanned.select(F.explode("tested.p.p_text").alias("p")).groupBy(_step(F.col("p")).alias("step")).count()
-    found = {r["step"]: r["count"] for r in counts.collect()}
-    tested, reached = sum(found.values()), 0
-    best = MOST_STEPS + 1
-    for step in sorted(found, reverse=True):
-        reached += found[step]
-        if 10.0 ** (-step / STEPS) * tested <= level * reached:
-            best = step
-    return best
+    p = scanned.select(F.explode("tested.p").alias("p"))
+    counts = p.groupBy("p.encoding", _step(F.col("p.p_text")).alias("step")).count().collect()
+    steps = {}
+    for encoding in {r["encoding"] for r in counts}:
+        found = {r["step"]: r["count"] for r in counts if r["encoding"] == encoding}
+        tested, reached = sum(found.values()), 0
+        steps[encoding] = MOST_STEPS + 1
+        for step in sorted(found, reverse=True):
+            reached += found[step]
+            if 10.0 ** (-step / STEPS) * tested <= level * reached:
+                steps[encoding] = step
+    return steps
 
 
 def find_secrets(docs: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
@@ -229,11 +292,20 @@ def find_secrets(docs: DataFrame, keys: list[str], text: str = "text") -> DataFr
 
     One pass over the texts leaves a small table; a second reads it. A repeated document
     counts each time. Documents without finds have empty arrays; an empty table gives an
-    empty result. Only ``keys`` and ``text`` are read.
+    empty result. Only ``keys`` and ``text`` are read. Not found: random strings of one
+    class, such as decimal digits or small letters alone, which nothing here tells from
+    numbers and words.
     """
     scanned = stage(scan(docs, keys, text), "secret-scan")
-    least = discovery_step(scanned)
-    random = _spans(F.filter("tested", lambda x: (x.p.p_random >= ALPHA) & (_step(x.p.p_text) >= least)), 3)
+    steps = discovery_steps(scanned)
+
+    def is_find(x: Column) -> Column:
+        least = F.lit(MOST_STEPS + 1)
+        for encoding, step in sorted(steps.items()):
+            least = F.when(x.p.encoding == encoding, step).otherwise(least)
+        return (x.p.p_random >= ALPHA) & (_step(x.p.p_text) >= least)
+
+    random = _spans(F.filter("tested", is_find), 3)
     return scanned.select(*keys, "base", F.sort_array(F.concat("base", random)).alias("spans"))
 
 

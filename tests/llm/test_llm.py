@@ -166,6 +166,25 @@ def test_random_values_after_an_equals_sign_are_found(spark):
     assert clean == {i: f"{n}[SECRET] # é" for i, n in enumerate(names)}
 
 
+def test_random_keys_of_every_mixed_alphabet_are_found(spark):
+    rnd = random.Random(4)
+    upper, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    alphabets = {"hex": digits + upper[:6], "base32": upper + "234567", "base36": digits + upper.lower()}
+    keys = [(name, n, "".join(rnd.choice(a) for _ in range(n))) for name, a in alphabets.items() for n in (32, 40) for _ in range(40)]
+    # Words run together, as they are and with numbers, in capitals and not.
+    parts = "straßen verwaltung inter national customer relation ship management développement haupt bahnhof".encode("ascii", "ignore").decode().split()
+    words = []
+    for i in range(600):
+        word = "".join(rnd.choice(parts) for _ in range(5)) + (str(rnd.randrange(2030)) + rnd.choice(parts)) * (i % 3 == 0)
+        words.append(word.upper() if i % 2 else word)
+    rows = [(i, f"see {t} end") for i, t in enumerate([k for *_, k in keys] + words)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r.doc_id for r in secrets.find_secrets(df, ["doc_id"]).filter(F.size("spans") > 0).collect()}
+    hits = Counter((name, n) for i, (name, n, _) in enumerate(keys) if i in found)
+    assert min(hits[name, n] for name in alphabets for n in (32, 40)) >= 34, hits
+    assert not [t for i, t in rows if i >= len(keys) and i in found]
+
+
 def test_quality_measures(spark):
     text = "the cat sat # the cat sat\n\nthe cat sat\nthe cat sat\n"
     df = spark.createDataFrame([(1, text), (2, None)], "doc_id bigint, text string")
