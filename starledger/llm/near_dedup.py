@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starledger.llm.common import having_ids, is_small, map_slices, text_bytes
+from starledger.llm.common import having_ids, is_small, lacking_ids, map_slices, text_bytes
 from starledger.llm.graph import components
 from starledger.llm.hashing import mix, numbers, word_hashes
 from starledger.llm.tokens import bound_batches
@@ -287,9 +287,21 @@ def _per_id(labels: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """The documents without those that are near-duplicates of one with a smaller id; of rows
-    with equal ids and equal sets all stay, as they are one node."""
-    verdicts = near_duplicates(docs, doc_id, text, width, percent)
-    gone = stage(verdicts.filter("NOT kept").select("doc_id").distinct(), "gone")
-    small = is_small(gone)
-    key = gone.select(F.col("doc_id").alias("_gone"))
-    return docs.join(F.broadcast(key) if small else key, docs[doc_id] == key["_gone"], "left_anti")
+    with equal ids that are near-duplicates of each other one stays, any of them.
+
+    Rows of one id are one node, so all go when one of them has a near-duplicate with a
+    smaller id. Two rows of one id that are linked only through a dropped document both stay.
+    """
+    verdicts = near_duplicates(docs, doc_id, text, width, percent).filter("doc_id IS NOT NULL")
+    per_id = verdicts.groupBy("doc_id").agg(F.bool_or("kept").alias("kept"), F.count_if(F.col("n_shingles") > 0).alias("n"))
+    apart = stage(per_id.filter("NOT kept OR n > 1"), "gone")
+    key = apart.select(F.col("doc_id").alias("_gone"))
+    left = docs.join(F.broadcast(key) if is_small(apart) else key, docs[doc_id] == key["_gone"], "left_anti")
+    again = apart.filter("kept").select(F.col("doc_id").alias("_again"))
+    if again.isEmpty():
+        return left
+    # Rows of repeated ids once more, each as a node of its own.
+    again = F.broadcast(again) if is_small(again) else again
+    rows = stage(docs.join(again, F.col(doc_id) == F.col("_again"), "left_semi").withColumn("_row", F.monotonically_increasing_id()), "repeated")
+    more = stage(near_duplicates(rows, "_row", text, width, percent).filter("NOT kept").select(F.col("doc_id").alias("_row")), "repeated-gone")
+    return left.unionByName(lacking_ids(rows, more, "_row", is_small(more)).select(*docs.columns))

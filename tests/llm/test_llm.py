@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from starledger.llm import mixing, quality_rules, secrets
 from starledger.llm.embedding_dedup import embedding_duplicates
-from starledger.llm.near_dedup import near_duplicates
+from starledger.llm.near_dedup import keep_one, near_duplicates
 from starledger.llm.packing import pack_documents, patterns, slots
 from starledger.llm.queries import tokenizer_path
 from starledger.llm.substring_dedup import remove_repeats
@@ -70,6 +70,20 @@ def test_near_duplicates_equal_brute_force(docs):
     }
 
 
+def test_one_row_of_a_repeated_document_stays(spark):
+    rnd = random.Random(5)
+    one, other, third = ([f"v{rnd.randrange(900)}" for _ in range(100)] for _ in range(3))
+    near = [*one[:50], "changed", *one[51:]]
+    rows = [(1, one), (1, one), (1, near), (1, other), (2, one), (3, third), (3, third), (4, third), (5, []), (5, []), (None, one), (None, one)]
+    df = spark.createDataFrame([(i, " ".join(t), k) for k, (i, t) in enumerate(rows)], "doc_id bigint, text string, k int").repartition(3)
+    kept = keep_one(df)
+    assert kept.columns == df.columns
+    got = Counter((r.doc_id, r.text) for r in kept.collect())
+    first = [t for t in (" ".join(one), " ".join(near)) if got.pop((1, t), 0) == 1]
+    assert len(first) == 1
+    assert got == {(1, " ".join(other)): 1, (3, " ".join(third)): 1, (5, ""): 2, (None, " ".join(one)): 2}
+
+
 def test_remove_repeats_equals_brute_force(docs):
     seen, want = {}, {}
     for i, text in sorted((i, t) for i, t, *_ in _texts()):
