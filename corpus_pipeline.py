@@ -26,7 +26,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one with the smallest id. Five words, 0.8 or more."""
+    """One document of each group: one with the smallest id. Five words, 0.8 or more."""
     return keep_one(docs, width=5, percent=80)
 
 
@@ -54,7 +54,7 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: SQL has no tokenizer; the pipeline is tested against a brute-force version.
+#: SQL has no tokenizer. Tests compare near_duplicates and secret_scan with plain Python, not all stages.
 ORACLE_SQL = None
 
 

@@ -169,6 +169,49 @@ def test_secret_spans_and_random_strings(spark):
     assert clean[3] == "see [SECRET] end" and clean[0] is None and clean[4] == texts[4]
 
 
+def _base_spans(text: str) -> list[tuple]:
+    found = [(m.start(), 0, m.end(), "assign") for m in re.finditer(secrets.ASSIGN, text) if len(m[2]) >= 6]
+    for rank, pattern in ((1, secrets.ACCESS), (2, secrets.HEX)):
+        found += [(m.start(), rank, m.end(), secrets.KINDS[rank]) for m in re.finditer(pattern, text)]
+    return sorted(found)
+
+
+def test_base_spans_equal_brute_force(spark):
+    rnd = random.Random(6)
+    parts = ["password", "Token", "api_key", "APIKEY", "=", ":", " ", '"', "'", "é", "\n", "abc", "x.y/z+", "AKIA", "QWERTY0123456789", "0123456789abcdef", "deadbeef", "😀"]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randrange(600 if i % 20 == 0 else 25))) for i in range(300)]
+    df = spark.createDataFrame(list(enumerate([*texts, None])), "doc_id bigint, text string")
+    got = {r.doc_id: [tuple(s) for s in r.base] for r in secrets.find_secrets(df, ["doc_id"]).collect()}
+    assert got == {**{i: _base_spans(t) for i, t in enumerate(texts)}, len(texts): []}
+
+
+def test_pipeline_stages_lose_no_rows(spark):
+    import corpus_pipeline
+
+    sets, rows = {}, []
+    for i, text, *_ in _texts():
+        w = WORD.findall((text or "").encode().lower())
+        sets[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+        rows.append((i, text, "en", "s", 0))
+    group = {i: i for i in sets}
+    for _ in sets:  # least id by links, until nothing changes
+        for a in sets:
+            for b in sets:
+                if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    group[a] = group[b] = min(group[a], group[b])
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = corpus_pipeline.near_duplicates(spark, df, "").collect()
+    assert sorted(r.doc_id for r in kept) == sorted(i for i in sets if group[i] == i)
+    assert {r.doc_id: r.text for r in kept} == {i: t for i, t, *_ in rows if group[i] == i}
+
+    told = [(i, f"{t or ''} é password: abcdef{i} end", *rest) for i, t, *rest in rows]
+    clean = corpus_pipeline.secret_scan(spark, spark.createDataFrame([*told, told[0]], df.schema), "")
+    want = [(i, f"{t or ''} é [SECRET] end") for i, t, *_ in rows]
+    got = clean.collect()
+    assert clean.columns == df.columns and Counter((r.doc_id, r.text) for r in got) == Counter([*want, want[0]])
+    assert all(r.n_chars == len(r.text) for r in got)
+
+
 def test_random_values_after_an_equals_sign_are_found(spark):
     rnd = random.Random(2)
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
