@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from starledger.llm import quality_rules, secrets
 from starledger.llm.common import table
 from starledger.llm.embedding_dedup import embedding_duplicates
+from starledger.llm.exact_search import top_k
 from starledger.llm.mixing import FLATTEN, PART_MEAN, TERMS, replicate, shuffled
 from starledger.llm.near_dedup import near_duplicates
 from starledger.llm.packing import pack_documents
@@ -15,6 +16,8 @@ from starledger.llm.quality_model import quality_scores
 from starledger.llm.substring_dedup import remove_repeats
 from starledger.llm.tokens import count_tokens
 from starledger.llm.toxicity import toxicity_scores
+from starledger.llm.vector_codes import ENTRIES, PARTS, ROUNDS, SCALE, code_rows, compress
+from starledger.llm.whitening import whiten
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 1024
@@ -77,6 +80,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), k=5, every=50, scale=256)
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return code_rows(spark, *compress(table(spark, sf_dir, "embeddings")))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -90,6 +105,9 @@ QUERIES = {
         op8_toxicity,
         op9_secret_scan,
         op10_quality_rules,
+        op11_exact_search,
+        op12_vector_codes,
+        op13_whitening,
     )
 }
 
@@ -176,10 +194,54 @@ copies AS (SELECT *, unnest(range(times))::INT AS copy FROM drawn)
 SELECT doc_id, text, lang, source, n_chars, copy, ('0x' || substr(md5(key || '|place|' || copy), 1, 12))::BIGINT / pow(16, 12) AS place FROM copies
 """
 
+_FINITE = "embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+_OP11 = f"""
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings WHERE {_FINITE}),
+s AS (
+  SELECT q.rid, q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.rid <> c.rid AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
+
+def _op12_sql() -> str:
+    """The rounds written out one by one; lists of one position each."""
+    per = f"(len(e) // {PARTS})"
+    steps = [
+        f"v AS (SELECT row_number() OVER () AS rid, vec_id, label, list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)::BIGINT) AS e FROM embeddings WHERE {_FINITE})",
+        f"p AS MATERIALIZED (SELECT rid, part, e[part * {per} + 1 : (part + 1) * {per}] AS x FROM v, range({PARTS}) AS r(part))",
+        f"first AS (SELECT rid, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM v ORDER BY vec_id LIMIT {ENTRIES})",
+        "e0 AS MATERIALIZED (SELECT part, entry, x AS c FROM p JOIN first USING (rid))",
+    ]
+    for r in range(ROUNDS + 1):
+        steps.append(
+            f"a{r} AS MATERIALIZED (SELECT rid, p.part, any_value(x) AS x, min(struct_pack(d := list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, entry := entry)) AS m "
+            f"FROM p JOIN e{r} USING (part) GROUP BY rid, p.part)"
+        )
+        if r < ROUNDS:
+            steps.append(
+                f"n{r} AS (SELECT part, entry, list(mean ORDER BY i) AS c FROM (SELECT part, m.entry AS entry, i, floor(sum(x[i]) / count(*))::BIGINT AS mean "
+                f"FROM a{r}, range(1, len(x) + 1) AS r(i) GROUP BY part, m.entry, i) GROUP BY part, entry)"
+            )
+            steps.append(f"e{r + 1} AS MATERIALIZED (SELECT part, entry, coalesce(n{r}.c, e{r}.c) AS c FROM e{r} LEFT JOIN n{r} USING (part, entry))")
+    return (
+        "WITH " + ",\n".join(steps) + f"""
+SELECT vec_id, string_agg(printf('%02x', m.entry), '' ORDER BY part) AS code, sum(m.d)::BIGINT AS error,
+  (sum(sum(m.d)) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) FROM e{ROUNDS}) AS codebooks_sha256
+FROM a{ROUNDS} JOIN v USING (rid) GROUP BY rid, vec_id, label
+"""
+    )
+
+
 ORACLES = {
     "op2_minhash_dedup": _OP2,
     "op3_substring_dedup": _OP3,
     "op5_source_mixing": _OP5,
     "op7_embedding_dedup": _OP7,
     "op10_quality_rules": _OP10,
+    "op11_exact_search": _OP11,
+    "op12_vector_codes": _op12_sql(),
 }
