@@ -38,6 +38,7 @@ def parse() -> argparse.Namespace:
     als.add_argument("--blocks", type=int, default=ALS_BLOCKS, help="tasks of either side; part of the model")
     als.add_argument("--seed", type=int, default=42)
     sub.add_parser("regression", help="train and compare the regressors")
+    sub.add_parser("audit", help="check the saved models against their training rows")
     views = sub.add_parser("views", help="print all views")
     views.add_argument("--top", type=int, default=15)
     views.add_argument("--min-ratings", type=int, default=30)
@@ -75,6 +76,8 @@ def main() -> None:
         print(jobs.run_als(lake, args.blocks, args.seed))
     elif args.job == "regression":
         print("best model:", jobs.run_regression(lake))
+    elif args.job == "audit":
+        jobs.run_audit(lake)
     else:
         jobs.run_views(lake, args.top, args.min_ratings, args.model, args.preview)
 

@@ -140,5 +140,15 @@ class Shared:
     def trained(self, name: str) -> training.Trained:
         return self._once(name, lambda: training.train_regressor(*self.split(), name))
 
+    def saved(self, name: str) -> str:
+        """The path where a trained model is saved."""
+
+        def build():
+            path = fresh_path(self.spark, "model")
+            training.save_model(self.trained(name).model, path)
+            return path
+
+        return self._once(f"saved {name}", build)
+
     def all_trained(self) -> list[training.Trained]:
         return [self.trained(name) for name in training.REGRESSORS]

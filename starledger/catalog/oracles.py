@@ -133,6 +133,7 @@ _MEAN_KEEPER = """
 _SHARES = """
     SELECT model_name, feature_name, true AS non_negative, CAST(1 AS DOUBLE) AS model_total
     FROM slots, (SELECT unnest([{}]) AS model_name)"""
+_TREES = "'Decision Tree Regressor', 'Random Forest Regressor', 'GBT Regressor'"
 # The models' settings, as logged.
 _SETTINGS = """
     ('Linear Regression', 'maxIter', '50'), ('Linear Regression', 'regParam', '0.1'),
@@ -275,6 +276,11 @@ ORACLES = {
     "index_category": _sql(
         [*_BASE, "indexed"], "SELECT main_tag, CAST(tag_index AS DOUBLE) AS main_tag_index FROM indexed"
     ),
+    "category_index": _sql(
+        [*_BASE, "indexed"],
+        """SELECT user_id, item_id, main_tag, CAST(tag_index AS DOUBLE) AS ranked_index, true AS agrees
+           FROM base JOIN indexed USING (main_tag)""",
+    ),
     "one_hot": _sql(
         [*_BASE, "indexed"],
         """SELECT user_id, item_id, main_tag, tag_index AS slot, CAST(tag_total AS INTEGER) AS slots
@@ -341,6 +347,33 @@ ORACLES = {
            WHERE fold >= 8 AND user_id IN (SELECT user_id FROM folded WHERE fold < 8)
              AND item_id IN (SELECT item_id FROM folded WHERE fold < 8)""",
     ),
+    "als_wide_ids": _sql(
+        [*_SILVER, "pairs", "folded"],
+        """SELECT user_id * 8589934592 + 7 AS user_id, item_id - 1099511627776 AS item_id, rating, true AS non_negative
+           FROM folded
+           WHERE fold >= 8 AND user_id IN (SELECT user_id FROM folded WHERE fold < 8)
+             AND item_id IN (SELECT item_id FROM folded WHERE fold < 8)""",
+    ),
+    "als_optimality": _sql(
+        [*_SILVER, "pairs", "folded"],
+        "SELECT user_id, count(*) AS ratings, true AS optimal FROM folded WHERE fold < 8 GROUP BY user_id",
+    ),
+    "ridge_fit": _sql(
+        [*_BASE, "indexed", "slots"],
+        """SELECT model_name, feature_name, true AS agrees
+           FROM (SELECT feature_name FROM slots UNION ALL SELECT 'intercept'),
+                (SELECT unnest(['Linear Regression', 'Generalized Linear Regression']) AS model_name)""",
+    ),
+    "tree_routes": _sql(
+        _LABELLED,
+        f"""SELECT user_id, item_id, model_name, true AS agrees
+           FROM labelled, (SELECT unnest([{_TREES}]) AS model_name) WHERE fold >= 8""",
+    ),
+    "tree_leaf_means": _sql(_LABELLED, "SELECT user_id, item_id, true AS agrees FROM labelled WHERE fold < 8"),
+    "tree_importances": _sql(
+        [*_BASE, "indexed", "slots"],
+        f"SELECT model_name, feature_name, true AS agrees FROM slots, (SELECT unnest([{_TREES}]) AS model_name)",
+    ),
     "reg_linear": _sql(_LABELLED, _MEAN_KEEPER.format("Linear Regression")),
     "reg_tree": _sql(_LABELLED, _MEAN_KEEPER.format("Decision Tree Regressor")),
     "reg_forest": _sql(
@@ -358,7 +391,7 @@ ORACLES = {
     ),
     "feature_importance": _sql(
         [*_BASE, "indexed", "slots"],
-        _SHARES.format("'Decision Tree Regressor', 'Random Forest Regressor', 'GBT Regressor'"),
+        _SHARES.format(_TREES),
     ),
     "importance_for_model": _sql([*_BASE, "indexed", "slots"], _SHARES.format("'GBT Regressor'")),
     "best_predictions": _sql(

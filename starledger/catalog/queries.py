@@ -13,10 +13,11 @@ from starledger.catalog import inputs
 from starledger.catalog.inputs import Shared
 from starledger.functions.events import encode_event, epoch_to_text, epoch_to_timestamp, time_parts
 from starledger.functions.tags import split_tags, tag_count
+from starledger.operators.categories import frequency_index, with_index
 from starledger.operators.joins import lookup_join
 from starledger.operators.metrics import histogram, regression_metrics
 from starledger.operators.sampling import hash_sample, hash_split, with_fold
-from starledger.plans import features, gold, silver, training, views
+from starledger.plans import features, gold, recommender, ridge, silver, training, trees, views
 from starledger.schemas import ITEM_RANKING_SCHEMA, RUN_LOG_SCHEMA, to_wire
 from starledger.session import fresh_path, stage, workspace
 from starledger.sources.tables import read_items_csv, read_table, safe_read_table, write_table
@@ -356,11 +357,33 @@ def model_names(spark: SparkSession, d: str) -> DataFrame:
 # what must hold of them whatever they are, computed from the models' own output.
 
 
+def _als_split(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The pairs, written once with their fold, as (train, test)."""
+    folded = stage(with_fold(ml_dataset(spark, d), PAIR), "als-pairs")
+    return folded.filter("fold < 8").drop("fold"), folded.filter("fold >= 8").drop("fold")
+
+
+def _non_negative(scored: DataFrame) -> DataFrame:
+    return scored.select(*PAIR, "rating", (~F.isnan("prediction") & (F.col("prediction") >= 0)).alias("non_negative"))
+
+
 def als_predict(spark: SparkSession, d: str) -> DataFrame:
     """The test pairs that get a prediction, and whether it is a number of at least 0."""
-    train, test = (stage(part, "als-split") for part in hash_split(ml_dataset(spark, d), PAIR))
-    scored = training.fit_als(train).transform(test)
-    return scored.select(*PAIR, "rating", (~F.isnan("prediction") & (F.col("prediction") >= 0)).alias("non_negative"))
+    train, test = _als_split(spark, d)
+    return _non_negative(training.fit_als(train).transform(test))
+
+
+def als_wide_ids(spark: SparkSession, d: str) -> DataFrame:
+    """``als_predict`` with ids that need 64 bits: the same pairs get a prediction."""
+    wide = {"user_id": F.col("user_id") * F.lit(1 << 33) + 7, "item_id": F.col("item_id") - F.lit(1 << 40)}
+    train, test = (part.withColumns(wide) for part in _als_split(spark, d))
+    return _non_negative(recommender.fit_recommender(train).transform(test))
+
+
+def als_optimality(spark: SparkSession, d: str) -> DataFrame:
+    """Every trained user, its ratings, and whether its factor minimises its loss."""
+    train, _ = _als_split(spark, d)
+    return recommender.optimality(recommender.fit_recommender(train), train).drop("gap")
 
 
 def _checked(predictions: DataFrame) -> DataFrame:
@@ -393,16 +416,18 @@ def reg_forest(spark: SparkSession, d: str) -> DataFrame:
 
 
 def model_comparison(spark: SparkSession, d: str) -> DataFrame:
-    """Every model, its test rows, and whether its metrics are those of MLlib's own evaluator."""
+    """Every model, its test rows, and whether its metrics are those of MLlib's own evaluator.
+
+    Each model scores the test rows once; the predictions are written and read by both.
+    """
     shared, metrics = Shared(spark, d), ("rmse", "mae", "r2")
     published = {r.model_name: r for r in training.comparison_table(spark, shared.all_trained()).collect()}
     rows = []
     for trained in shared.all_trained():
         scored = training.predictions_of(trained.model, shared.split()[1], trained.name)
-        agrees = []
-        for metric in metrics:
-            evaluator = RegressionEvaluator(labelCol="actual_rating", predictionCol="predicted_rating", metricName=metric)
-            agrees.append(abs(evaluator.evaluate(scored) - published[trained.name][metric]) < 1e-9)
+        scored = stage(scored.select("actual_rating", "predicted_rating"), "scored")
+        theirs = RegressionEvaluator(labelCol="actual_rating", predictionCol="predicted_rating")
+        agrees = [abs(theirs.setMetricName(m).evaluate(scored) - published[trained.name][m]) < 1e-9 for m in metrics]
         rows.append((trained.name, scored.count(), *agrees))
     return spark.createDataFrame(
         rows, "model_name string, test_rows bigint, rmse_agrees boolean, mae_agrees boolean, r2_agrees boolean"
@@ -427,6 +452,67 @@ def importance_for_model(spark: SparkSession, d: str) -> DataFrame:
     return _shares(views.importance_for_model(_importances(spark, d), "GBT Regressor"))
 
 
+def ridge_fit(spark: SparkSession, d: str) -> DataFrame:
+    """Whether each weight of a fit in one pass is that of MLlib's linear models."""
+    shared = Shared(spark, d)
+    own = ridge.fit_ridge(shared.split()[0], penalty=0.1)
+    slots = features.slot_names(shared.features())
+    rows = []
+    for name in ("Linear Regression", "Generalized Linear Regression"):
+        model = shared.trained(name).model
+        theirs = [*model.coefficients.toArray(), model.intercept]
+        for slot, a, b in zip([*slots, "intercept"], [*own.coefficients, own.intercept], theirs, strict=True):
+            rows.append((name, slot, bool(abs(a - b) <= 1e-6 * max(1.0, abs(b)))))
+    return spark.createDataFrame(rows, "model_name string, feature_name string, agrees boolean")
+
+
+def tree_routes(spark: SparkSession, d: str) -> DataFrame:
+    """Test rows routed through the saved nodes: whether they meet the model's prediction."""
+    shared, parts = Shared(spark, d), []
+    test = shared.split()[1]
+    for name in training.TREE_MODELS:
+        nodes = trees.node_table(spark, shared.saved(name))
+        routed = trees.route(test.select(*PAIR, "features"), nodes, depth=training.depth_of(name))
+        found = trees.ensemble_predictions(routed, PAIR, averaged=training.trees_count_alike(name))
+        both = training.predictions_of(shared.trained(name).model, test, name).join(found, PAIR, "left")
+        agrees = F.coalesce(F.abs(F.col("routed_prediction") - F.col("predicted_rating")) < 1e-9, F.lit(False))
+        parts.append(both.select(*PAIR, "model_name", agrees.alias("agrees")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def tree_leaf_means(spark: SparkSession, d: str) -> DataFrame:
+    """Training rows, and whether the decision tree's leaf that they end in predicts the mean
+    rating of the training rows there."""
+    shared, name = Shared(spark, d), training.SINGLE_TREE
+    nodes = trees.node_table(spark, shared.saved(name))
+    rows = shared.split()[0].select(*PAIR, "label", "features")
+    routed = stage(trees.route(rows, nodes, depth=training.depth_of(name)).drop("features", "prediction"), "routed")
+    leaves = nodes.filter("left IS NULL").select("place", "prediction")
+    means = stage(routed.groupBy("place").agg(F.avg("label").alias("mean"), F.count(F.lit(1)).alias("n")).join(leaves, "place"), "leaves")
+    met = lookup_join(routed, means.drop("n"), "place", key_counts=means.select("place", "n"))
+    return met.select(*PAIR, (F.abs(F.col("mean") - F.col("prediction")) < 1e-9).alias("agrees"))
+
+
+def tree_importances(spark: SparkSession, d: str) -> DataFrame:
+    """Whether each slot's importance is that recomputed from the saved nodes."""
+    shared, rows = Shared(spark, d), []
+    slots = features.slot_names(shared.features())
+    for name in training.TREE_MODELS:
+        nodes = trees.node_table(spark, shared.saved(name))
+        found = {r.feature: r.importance for r in trees.node_importances(nodes, training.trees_count_alike(name)).collect()}
+        published = shared.trained(name).model.featureImportances.toArray()
+        rows += [(name, slot, bool(abs(found.get(i, 0.0) - published[i]) < 1e-9)) for i, slot in enumerate(slots)]
+    return spark.createDataFrame(rows, "model_name string, feature_name string, agrees boolean")
+
+
+def category_index(spark: SparkSession, d: str) -> DataFrame:
+    """Feature rows with their main tag's index by frequency, numbered range by range, and
+    whether MLlib's indexer gives the same."""
+    table = Shared(spark, d).features().select(*PAIR, "main_tag", "main_tag_index")
+    ranked = with_index(table, frequency_index(table, "main_tag"), "main_tag", "ranked_index")
+    return ranked.select(*PAIR, "main_tag", "ranked_index", (F.col("ranked_index") == F.col("main_tag_index")).alias("agrees"))
+
+
 def best_predictions(spark: SparkSession, d: str) -> DataFrame:
     """The published sample, and whether it is of the model that the comparison puts first."""
     shared = Shared(spark, d)
@@ -505,6 +591,7 @@ QUERIES = {
     "features_base": features_base,
     "features_train_stats": features_train_stats,
     "index_category": index_category,
+    "category_index": category_index,
     "one_hot": one_hot,
     "feature_vector": feature_vector,
     "hash_split": hash_split_query,
@@ -518,11 +605,17 @@ QUERIES = {
     "best_model": best_model,
     "model_names": model_names,
     "als_predict": als_predict,
+    "als_wide_ids": als_wide_ids,
+    "als_optimality": als_optimality,
     "reg_linear": _mean_keeper("Linear Regression"),
     "reg_tree": _mean_keeper("Decision Tree Regressor"),
     "reg_forest": reg_forest,
     "reg_gbt": _mean_keeper("GBT Regressor"),
     "reg_glr": _mean_keeper("Generalized Linear Regression"),
+    "ridge_fit": ridge_fit,
+    "tree_routes": tree_routes,
+    "tree_leaf_means": tree_leaf_means,
+    "tree_importances": tree_importances,
     "model_comparison": model_comparison,
     "feature_importance": feature_importance,
     "importance_for_model": importance_for_model,

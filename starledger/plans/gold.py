@@ -123,13 +123,21 @@ def table_profile(df: DataFrame) -> DataFrame:
 def headline_figures(pairs: DataFrame) -> DataFrame:
     """Total ratings, distinct items and users, and the mean rating, in one row.
 
-    Items and users are counted by grouping; two distinct counts in one aggregate would
-    make three copies of every row.
+    One scan: every row counts once for its item and once for its user, and both kinds of
+    group are combined before a single shuffle. Null ids are not counted, their ratings are.
     """
-    items = pairs.groupBy("item_id").agg(F.count(F.lit(1)).alias("n"), F.sum("rating").alias("s"), F.count("rating").alias("r"))
-    users = pairs.groupBy("user_id").agg(F.lit(1).alias("one")).agg(F.count("user_id").alias("users"))
-    return items.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total_ratings"),
+    item, user = (pairs.schema[c].dataType for c in ("item_id", "user_id"))
+    rating = pairs.schema["rating"].dataType
+    by_item = F.struct(F.lit(True).alias("by_item"), "item_id", F.lit(None).cast(user).alias("user_id"), "rating")
+    by_user = F.struct(F.lit(False).alias("by_item"), F.lit(None).cast(item).alias("item_id"), "user_id", F.lit(None).cast(rating).alias("rating"))
+    groups = (
+        pairs.select(F.inline(F.array(by_item, by_user)))
+        .groupBy("by_item", "item_id", "user_id")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("rating").alias("s"), F.count("rating").alias("r"))
+    )
+    return groups.agg(
+        F.coalesce(F.sum(F.when(F.col("by_item"), F.col("n"))), F.lit(0)).alias("total_ratings"),
         F.count("item_id").alias("total_items"),
-        F.round(F.sum("s") / F.sum("r"), 2).alias("avg_rating"),
-    ).select("total_ratings", "total_items", users.scalar().alias("total_users"), "avg_rating")
+        F.count("user_id").alias("total_users"),
+        F.round(F.try_divide(F.sum("s"), F.sum("r")), 2).alias("avg_rating"),
+    )

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from starledger.operators.complete import complete_rows
 from starledger.operators.metrics import histogram, regression_metrics
 from starledger.operators.sampling import hash_split
-from starledger.plans import features, gold, silver, training, views
+from starledger.plans import features, gold, recommender, silver, training, trees, views
 from starledger.schemas import (
     COMPARISON_SCHEMA,
     IMPORTANCE_SCHEMA,
@@ -57,6 +57,7 @@ class Lake:
     predictions = "gold/best_model_predictions"
     views = "views"
     models = "models"
+    audit = "audit"
     run_log = "runs"
 
     def path(self, table: str) -> str:
@@ -180,14 +181,17 @@ def _log(
 
 
 def run_als(lake: Lake, blocks: int = training.ALS_BLOCKS, seed: int = 42) -> dict[str, float]:
-    """Train and score the recommender; save it and log the run with all it takes to repeat it."""
+    """Train and score the recommender; save it and log the run with all it takes to repeat it.
+
+    Ids beyond 32 bits are numbered; the tables of numbers are saved beside the model.
+    """
     pairs = complete_rows(lake.read(lake.pairs).select("user_id", "item_id", "rating"))
     train, test = (stage(part, "als-split") for part in hash_split(pairs, training.PAIR))
-    model = training.fit_als(train, seed=seed, blocks=blocks)
+    model = recommender.fit_recommender(train, seed=seed, blocks=blocks)
     scored = model.transform(test)
     metrics = regression_metrics(scored, "rating", "prediction").select("rmse", "mae").first().asDict()
     artifact = lake.path(f"{lake.models}/als")
-    training.save_model(model, artifact)
+    model.save(artifact)
     settings = {
         "model": "ALS",
         "dataset": lake.pairs,
@@ -196,6 +200,7 @@ def run_als(lake: Lake, blocks: int = training.ALS_BLOCKS, seed: int = 42) -> di
         "coldStartStrategy": "drop",
         "seed": seed,
         "blocks": blocks,
+        "wide_ids": model.users is not None,
         "train_rows": train.count(),
         "test_rows": test.count(),
     }
@@ -225,6 +230,37 @@ def run_regression(lake: Lake) -> str:
     return training.best_of(trained).name
 
 
+def run_audit(lake: Lake) -> None:
+    """Check the saved models against the data they were trained on.
+
+    ``audit/als_users``: per user, how far its factor is from the minimum of its loss.
+    ``audit/tree_leaves``: per leaf of the decision tree, its prediction and the mean of the
+    training rows that end there. ``audit/importances``: per tree model and slot, the
+    published importance and the one recomputed from the saved nodes.
+    """
+    pairs = complete_rows(lake.read(lake.pairs).select("user_id", "item_id", "rating"))
+    wide = not recommender.fits_32_bits(pairs)
+    als = recommender.Recommender.load(lake.spark, lake.path(f"{lake.models}/als"), wide)
+    train, _ = hash_split(pairs, training.PAIR)
+    lake.write(recommender.optimality(als, train), f"{lake.audit}/als_users", replace_schema=True)
+
+    table = lake.read(lake.features)
+    slots = [wire_slot(slot) for slot in features.slot_names(table)]
+    names = lake.spark.createDataFrame(list(enumerate(slots)), "feature int, feature_name string")
+    found = None
+    for name in training.TREE_MODELS:
+        nodes = trees.node_table(lake.spark, lake.path(f"{lake.models}/{name.lower().replace(' ', '_')}"))
+        if name == training.SINGLE_TREE:
+            rows = training.labelled(table)[0].select(*training.PAIR, "label", "features")
+            leaves = trees.leaf_means(trees.route(rows, nodes, depth=training.depth_of(name)))
+            lake.write(leaves, f"{lake.audit}/tree_leaves", replace_schema=True)
+        own = trees.node_importances(nodes, training.trees_count_alike(name)).withColumn("model_name", F.lit(name))
+        found = own if found is None else found.unionByName(own)
+    recomputed = found.join(names, "feature").select("model_name", "feature_name", F.col("importance").alias("recomputed"))
+    both = lake.read(lake.importances).join(recomputed, ["model_name", "feature_name"], "left")
+    lake.write(both.fillna(0.0, ["recomputed"]), f"{lake.audit}/importances", replace_schema=True)
+
+
 def run_views(
     lake: Lake, n: int = 15, min_ratings: int = gold.MIN_RATINGS, model: str | None = None, preview: int = 20
 ) -> None:

@@ -42,6 +42,8 @@ REGRESSORS: dict[str, tuple[type[Estimator], dict[str, object]]] = {
         {"family": "gaussian", "link": "identity", "maxIter": 50, "regParam": 0.1},
     ),
 }
+SINGLE_TREE, BOOSTED = "Decision Tree Regressor", "GBT Regressor"
+TREE_MODELS = [SINGLE_TREE, "Random Forest Regressor", BOOSTED]
 ALS_SETTINGS: dict[str, object] = {"rank": 10, "maxIter": 10, "regParam": 0.1}
 
 
@@ -87,6 +89,16 @@ def fit_regressor(train: DataFrame, name: str, settings: Mapping[str, object] |
     )
 
 
+def depth_of(name: str) -> int:
+    """The greatest depth of a tree model's trees."""
+    return int(REGRESSORS[name][1]["maxDepth"])
+
+
+def trees_count_alike(name: str) -> bool:
+    """Whether all trees of a model count alike, or each by the error it takes away."""
+    return name != BOOSTED
+
+
 def predictions_of(model: Model, test: DataFrame, name: str) -> DataFrame:
     """Predictions, residuals and the model's name."""
     scored = model.transform(test)

@@ -109,6 +109,14 @@ def test_training_jobs(lake, spark, capsys):
     assert int(logged["ALS", "train_rows"]) + int(logged["ALS", "test_rows"]) == pairs
     assert logged["GBT Regressor", "train_rows"] == logged["ALS", "train_rows"]
 
+    jobs.run_audit(lake)
+    users = lake.read(f"{lake.audit}/als_users")
+    assert users.count() == 40 and users.filter("NOT optimal").isEmpty()
+    assert lake.read(f"{lake.audit}/tree_leaves").filter("abs(mean - prediction) > 1e-9").isEmpty()
+    shares = lake.read(f"{lake.audit}/importances")
+    assert shares.count() == lake.read(lake.importances).count()
+    assert shares.filter("abs(importance - recomputed) > 1e-9").isEmpty()
+
     # Rerunning replaces tables and appends runs.
     jobs.run_gold(lake)
     assert lake.read(lake.user_activity).count() == 40
