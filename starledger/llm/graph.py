@@ -9,8 +9,13 @@ from starledger.session import stage
 
 
 def _lowest(pairs: DataFrame) -> DataFrame:
-    """Per node the least of itself and its neighbours; combined on the map side."""
-    return pairs.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    """Per node the least of itself and its neighbours; combined on the map side.
+
+    Written out: a join of two tables, and not of an aggregate, is one whose partitions
+    Spark splits at run time where a node has very many edges, or that it broadcasts where
+    the nodes are few.
+    """
+    return stage(pairs.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "lowest")
 
 
 def _print(edges: DataFrame):

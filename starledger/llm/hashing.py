@@ -1,18 +1,20 @@
-"""Hashes of words in whole Arrow columns of text, with numpy alone."""
+"""Hashes of words in whole Arrow columns of text."""
 
 from __future__ import annotations
 
+import hashlib
 import re
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
-_IS_SPACE = np.zeros(256, bool)
-_IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 _ODD = 0x9E3779B97F4A7C15 | 1
-#: Bytes that are hashed at once; longer texts are taken in parts that end between words.
+#: Bytes that are split into words at once; longer texts are taken in parts that end between words.
 PART = 1 << 20
+#: Digests remembered per worker, of words of at most so many bytes: some 60 MB.
+REMEMBERED, SHORT = 400_000, 48
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -31,46 +33,41 @@ def numbers(seed: int, n: int) -> np.ndarray:
         return mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(_ODD) + np.uint64(seed))
 
 
-_POWERS: dict[int, np.ndarray] = {}
+_KNOWN: dict[bytes, bytes] = {}
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    """base^0 .. base^(n-1) modulo 2^64; kept for later calls."""
-    have = _POWERS.get(base)
-    if have is None or len(have) < n:
-        size = max(n, 2 * PART)
-        have = np.full(size, base, np.uint64)
-        have[0] = 1
-        np.multiply.accumulate(have, out=have)
-        if size <= 8 * PART:
-            _POWERS[base] = have
-    return have[:n]
-
-
-_INVERSE = pow(_ODD, -1, 1 << 64)
+def _digests(words: list[bytes]) -> np.ndarray:
+    """(words, 2) numbers: 128 bits of a cryptographic digest of each word."""
+    out = list(map(_KNOWN.get, words))
+    for i, d in enumerate(out):
+        if d is None:
+            word = words[i]
+            out[i] = d = hashlib.blake2b(word, digest_size=16).digest()
+            if len(word) <= SHORT and len(_KNOWN) < REMEMBERED:
+                _KNOWN[word] = d
+    return np.frombuffer(b"".join(out), np.uint64).reshape(-1, 2)
 
 
 def _hash_part(data: bytes) -> np.ndarray:
-    """Hash of each word of ``data``: a polynomial of its bytes, then mixed."""
-    buffer = np.frombuffer(b" " + data + b" ", np.uint8)
-    space = _IS_SPACE[buffer]
-    edge = np.flatnonzero(space[1:] != space[:-1]) + 1
-    first, last = edge[0::2], edge[1::2]
-    sums = np.cumsum(numbers(1, 256)[buffer] * powers(_ODD, len(buffer)), dtype=np.uint64)
-    return mix((sums[last - 1] - sums[first - 1]) * powers(_INVERSE, len(buffer))[first])
+    """Both numbers of each word of ``data``; equal words are digested once."""
+    words = data.split()  # at the six white-space bytes of WORD
+    numbered = pa.array(words, pa.binary()).dictionary_encode()
+    return _digests(numbered.dictionary.to_pylist())[numbered.indices.to_numpy(zero_copy_only=False)]
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of every word of all texts in a row, number of words of each text)."""
+    """(two 64-bit numbers of every word of all texts in a row, number of words of each text).
+
+    The two together are 128 bits of blake2b, so that unlike words, however long and however
+    chosen, do not share both.
+    """
     joined, counts = [], np.zeros(len(texts), np.int64)
     small = []  # neighbours that are hashed together
 
     def flush() -> None:
         if small:
-            hashes = _hash_part(b" ".join([texts[i] for i in small]))
-            own = np.fromiter((len(texts[i].split()) for i in small), np.int64, len(small))
-            counts[small] = own
-            joined.append(hashes)
+            joined.append(_hash_part(b" ".join([texts[i] for i in small])))
+            counts[small] = np.fromiter((len(texts[i].split()) for i in small), np.int64, len(small))
             small.clear()
 
     size = 0
@@ -91,4 +88,31 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             flush()
             size = 0
     flush()
-    return (np.concatenate(joined) if joined else np.empty(0, np.uint64)), counts
+    return (np.concatenate(joined) if joined else np.empty((0, 2), np.uint64)), counts
+
+
+#: Factors of the two halves of a block.
+_LEFT, _RIGHT = 0xD1342543DE82EF95, 0x2545F4914F6CDD1D
+
+
+def stretch_prints(words: np.ndarray, requests: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+    """64-bit prints of stretches of words; each request lists first places and ends.
+
+    Blocks of 1, 2, 4, 8, ... words are hashed from their halves, every level mixed before the
+    next, so that no arrangement of words cancels out. A stretch is the longest block at its
+    start, the one at its end, and its length; the two overlap or meet.
+    """
+    out = [np.zeros(len(first), np.uint64) for first, _ in requests]
+    lengths = [end - first for first, end in requests]
+    block, level = words, 0
+    while True:
+        for (first, end), length, own in zip(requests, lengths, out):
+            at = np.flatnonzero((length >= 1 << level) & (length < 2 << level))
+            if len(at):
+                ends = block[first[at]] * np.uint64(_LEFT) + block[end[at] - (1 << level)] * np.uint64(_RIGHT)
+                own[at] = mix(mix(ends) + length[at].astype(np.uint64))
+        if not any((length >= 2 << level).any() for length in lengths):
+            return out
+        half = 1 << level
+        block = mix(block[:-half] * np.uint64(_LEFT) + block[half:] * np.uint64(_RIGHT) + np.uint64(level + 1))
+        level += 1

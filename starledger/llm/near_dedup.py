@@ -28,6 +28,8 @@ from starledger.session import stage
 #: (1 - 0.8^5)^40 = 1.3e-7, at 0.85 of 1e-10.
 BANDS, ROWS = 40, 5
 SAMPLES = BANDS * ROWS
+#: Sets of fewer words than this many shingles need get a second hash of each shingle.
+FEW_SHINGLES = 16
 #: Bits of an odd sketch, as longs.
 SKETCH_LONGS = 8
 #: Two sketches of sets with a similarity of 0.8 differ in 69 bits on average, with a
@@ -44,21 +46,37 @@ def shingles(texts: list[bytes], width: int) -> list[np.ndarray]:
 
     With fewer words than ``width``, the sequence as a whole is one shingle.
     """
-    hashes, counts = word_hashes([t.lower() for t in texts])
-    out, first = [], 0
+    return [own for own, _ in _sets(texts, width)]
+
+
+def _sets(texts: list[bytes], width: int):
+    """Per text its shingles, and a number made from other hashes of them where they are few.
+
+    Two unlike sets of many shingles cannot have all hashes alike; of a few they might, if
+    there are billions of them.
+    """
+    lanes, counts = word_hashes([t.lower() for t in texts])
     factors = numbers(2, width)
+    first = 0
     for n in counts.tolist():
-        w = hashes[first : first + n]
+        words = lanes[first : first + n]
         first += n
         if n == 0:
-            out.append(w)
+            yield words[:, 0], 0
             continue
         size = min(width, n)
-        total = np.full(n - size + 1, size, np.uint64)
-        for k in range(size):
-            total += mix(w[k : k + len(total)] * factors[k] + np.uint64(k))
-        out.append(np.unique(mix(total)))
-    return out
+
+        def combined(w: np.ndarray) -> np.ndarray:
+            total = np.full(n - size + 1, size, np.uint64)
+            for k in range(size):
+                total += mix(w[k : k + len(total)] * factors[k] + np.uint64(k))
+            return mix(total)
+
+        if n < FEW_SHINGLES + width:
+            own, at = np.unique(combined(words[:, 0]), return_index=True)
+            yield own, int(mix(combined(words[:, 1])[at]).sum(dtype=np.uint64).view(np.int64))
+        else:
+            yield np.unique(combined(words[:, 0])), 0
 
 
 def _samples(shingle_hashes: np.ndarray) -> np.ndarray:
@@ -90,16 +108,16 @@ def _odd_sketch(samples: np.ndarray) -> np.ndarray:
 def signatures(docs: DataFrame, width: int) -> DataFrame:
     """(doc_id, n_shingles, f1, f2, sketch, bands) per row of docs (doc_id, text).
 
-    f1 and f2 are two hashes of the set; equal sets have equal ones.
+    f1 and f2 are two hashes of the set; equal sets have equal ones, and unlike sets do not.
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         n, f1, f2, sketch, bands = [], [], [], [], []
-        for own in shingles(text_bytes(batch.column("text")), width):
+        for own, other in _sets(text_bytes(batch.column("text")), width):
             n.append(len(own))
             f1.append(int(mix(own).sum(dtype=np.uint64).view(np.int64)))
-            f2.append(int(mix(own ^ np.uint64(0xABCDEF)).sum(dtype=np.uint64).view(np.int64)))
+            f2.append(int(mix(own ^ np.uint64(0xABCDEF)).sum(dtype=np.uint64).view(np.int64)) ^ other)
             samples = _samples(own) if len(own) else None
             sketch.append(_odd_sketch(samples) if len(own) else None)
             bands.append(_bands(samples) if len(own) else None)
@@ -236,7 +254,11 @@ def near_duplicates(
     sets = linked.join(heads, "doc_id", "left_semi").select(
         F.col("doc_id").alias("id"), "n_shingles", "sketch", "bands"
     )
-    buckets = sets.select("id", "n_shingles", F.explode("bands").alias("band")).distinct()
+    # A set of s shingles and another, unlike it, have a similarity of s / (s + 1) at most. Where
+    # that is too little the set is linked with equal ones alone.
+    buckets = sets.filter(F.lit(100 - percent) * F.col("n_shingles") >= percent).select(
+        "id", "n_shingles", F.explode("bands").alias("band")
+    ).distinct()
     # The centre of a bucket is drawn by hash, so that a set meets many centres.
     centres = buckets.groupBy("band").agg(
         F.min_by("id", F.xxhash64("band", "id")).alias("centre"), F.count(F.lit(1)).alias("n")
@@ -295,13 +317,16 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     verdicts = near_duplicates(docs, doc_id, text, width, percent).filter("doc_id IS NOT NULL")
     per_id = verdicts.groupBy("doc_id").agg(F.bool_or("kept").alias("kept"), F.count_if(F.col("n_shingles") > 0).alias("n"))
     apart = stage(per_id.filter("NOT kept OR n > 1"), "gone")
-    key = apart.select(F.col("doc_id").alias("_gone"))
-    left = docs.join(F.broadcast(key) if is_small(apart) else key, docs[doc_id] == key["_gone"], "left_anti")
-    again = apart.filter("kept").select(F.col("doc_id").alias("_again"))
+    # Packed, so that columns of any name go through untouched.
+    packed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{text}`").alias("_text")
+    )
+    left = lacking_ids(packed, apart.select(F.col("doc_id").alias("_id")), "_id", is_small(apart)).select("_doc.*")
+    again = apart.filter("kept").select(F.col("doc_id").alias("_id"))
     if again.isEmpty():
         return left
     # Rows of repeated ids once more, each as a node of its own.
-    again = F.broadcast(again) if is_small(again) else again
-    rows = stage(docs.join(again, F.col(doc_id) == F.col("_again"), "left_semi").withColumn("_row", F.monotonically_increasing_id()), "repeated")
-    more = stage(near_duplicates(rows, "_row", text, width, percent).filter("NOT kept").select(F.col("doc_id").alias("_row")), "repeated-gone")
-    return left.unionByName(lacking_ids(rows, more, "_row", is_small(more)).select(*docs.columns))
+    rows = having_ids(packed, again, "_id", is_small(again)).withColumn("_row", F.monotonically_increasing_id())
+    rows = stage(rows, "repeated")
+    more = stage(near_duplicates(rows, "_row", "_text", width, percent).filter("NOT kept").select(F.col("doc_id").alias("_row")), "repeated-gone")
+    return left.unionByName(lacking_ids(rows, more, "_row", is_small(more)).select("_doc.*"))

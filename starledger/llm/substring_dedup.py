@@ -12,8 +12,8 @@ side. A window of WINDOW words therefore ranks the boundaries that lie CONTEXT w
 it from its own words alone, and picks the same one, its anchor, wherever it occurs. An
 anchor's name is a hash of its context; documents that share a window share a name.
 
-First the spans of all windows of an anchor are compared, name and span being a 128-bit
-print. Only where one name has several spans, at the edges of passages, are windows listed
+First the spans of all windows of an anchor are compared, name and span being 64 bits each,
+made from different halves of the words' digests. Only where one name has several spans, at the edges of passages, are windows listed
 one by one, each span in its first document alone.
 """
 
@@ -27,8 +27,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starledger.llm.common import having_ids, is_small, lacking_ids, map_slices, text_bytes
-from starledger.llm.hashing import mix, numbers, powers, word_hashes
+from starledger.llm.hashing import mix, stretch_prints, word_hashes
 from starledger.llm.tokens import bound_batches
+from starledger.operators.joins import salted_join
 from starledger.session import stage
 
 WINDOW = 50
@@ -36,8 +37,7 @@ WINDOW = 50
 #: a boundary depends on 2 words for runs, and on 2, then 4 more for the rounds: 8.
 PAIRS = 2
 CONTEXT = 8
-_BASE, _SEED = 0xD1342543DE82EF95, 0x2545F4914F6CDD1D
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
+_SEED = 0x2545F4914F6CDD1D
 
 
 def _survivals(words: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -74,13 +74,13 @@ class Anchors:
 
     def __init__(self, texts: list[bytes], window: int = WINDOW):
         self.window = window
-        self.words, self.counts = word_hashes(texts)
+        self.lanes, self.counts = word_hashes(texts)
+        self.words = self.lanes[:, 0]
         n = len(self.words)
         self.begins = np.concatenate(([0], np.cumsum(self.counts)))
         first = np.zeros(n + 1, bool)
         first[self.begins[:-1]] = True
         first = first[:n]
-        self.sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(self.words * powers(_BASE, n), dtype=np.uint64)))
         self.doc = np.repeat(np.arange(len(texts)), self.counts)
         starts = np.arange(max(n - window + 1, 0))
         starts = starts[self.doc[starts] == self.doc[starts + window - 1]] if len(starts) else starts
@@ -104,19 +104,18 @@ class Anchors:
         self.low = starts[new]
         self.high = starts[np.concatenate((np.flatnonzero(new)[1:] - 1, [len(starts) - 1]))]
 
-    def print(self, first: np.ndarray, end: np.ndarray, seed: int) -> np.ndarray:
-        """64-bit prints of the words from ``first`` to before ``end``."""
-        body = (self.sums[end] - self.sums[first]) * powers(_BASE_INVERSE, len(self.words) + 1)[first]
-        return mix(mix(body + np.uint64(seed)) + (end - first).astype(np.uint64)).view(np.int64)
+    def _prints(self, lane: int, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return stretch_prints(self.lanes[:, lane], [(first, end)])[0].view(np.int64)
 
     def names(self) -> np.ndarray:
-        return self.print(self.anchor - CONTEXT, self.anchor + CONTEXT, 21)
+        """From one half of each word's digest; prints come from the other."""
+        return self._prints(0, self.anchor - CONTEXT, self.anchor + CONTEXT)
 
     def spans(self) -> np.ndarray:
-        return self.print(self.low, self.high + self.window, 22)
+        return self._prints(1, self.low, self.high + self.window)
 
     def windows(self, starts: np.ndarray) -> np.ndarray:
-        return self.print(starts, starts + self.window, 23)
+        return self._prints(1, starts, starts + self.window)
 
 
 _PAIR = pa.struct([("name", pa.int64()), ("print", pa.int64())])
@@ -162,9 +161,10 @@ def _edge_windows(docs: DataFrame, window: int) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         a = Anchors(text_bytes(batch.column("text")), window)
-        chosen = _members(a, batch.column("wanted"), a.names(), a.spans(), a.doc[a.low])
+        own = a.names()
+        chosen = _members(a, batch.column("wanted"), own, a.spans(), a.doc[a.low])
         starts = a.starts[chosen[a.group]] if len(a.starts) else a.starts
-        names = a.names()[a.group[chosen[a.group]]] if len(a.starts) else a.starts
+        names = own[a.group[chosen[a.group]]] if len(a.starts) else a.starts
         lists = _pair_lists(a.doc[starts], batch.num_rows, names, a.windows(starts))
         doc = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(lists.offsets)))
         flat = lists.flatten()
@@ -192,9 +192,10 @@ def _result(docs: DataFrame, window: int) -> DataFrame:
             part = batch.take(pa.array(hit))
             a = Anchors([texts[i] for i in hit], window)
             if len(a.starts):
-                spans = _members(a, part.column("spans"), a.names(), a.spans(), a.doc[a.low])
+                names = a.names()
+                spans = _members(a, part.column("spans"), names, a.spans(), a.doc[a.low])
                 copied = spans[a.group]
-                copied |= _members(a, part.column("windows"), a.names()[a.group], a.windows(a.starts), a.doc[a.starts])
+                copied |= _members(a, part.column("windows"), names[a.group], a.windows(a.starts), a.doc[a.starts])
                 change = np.zeros(len(a.words) + 1, np.int64)
                 np.add.at(change, a.starts[copied], 1)
                 np.add.at(change, a.starts[copied] + window, -1)
@@ -230,16 +231,23 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     rows = stage(_prints(docs, window).filter(F.col("n_words") >= window).filter("doc_id IS NOT NULL"), "prints")
 
-    # Documents whose words are, as a whole, those of an earlier one lose all of them.
-    first = rows.groupBy("digest").agg(F.min("doc_id").alias("first"))
-    copies = stage(rows.select("doc_id", "digest").join(first, "digest").filter("doc_id > first").select("doc_id", "digest"), "copies")
+    # Documents whose words are, as a whole, those of an earlier one lose all of them. A text,
+    # name or span that very many documents have is cut into slices when they are joined.
+    count = F.count(F.lit(1)).alias("n")
+    first = stage(rows.groupBy("digest").agg(F.min("doc_id").alias("first"), count).filter("n > 1"), "first-copies")
+    several = salted_join(rows.select("doc_id", "digest"), first.drop("n"), "digest", "inner", first.select("digest", "n"))
+    copies = stage(several.filter("doc_id > first").select("doc_id", "digest"), "copies")
     heads = rows.join(copies, ["doc_id", "digest"], "left_anti")
 
     spans = heads.select("doc_id", F.explode("spans").alias("s")).select("doc_id", "s.name", "s.print")
-    common = spans.groupBy("name").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most")
-    shared = stage(spans.join(common.select("name"), "name"), "shared-spans")
-    kinds = stage(shared.groupBy("name", "print").agg(F.min("doc_id").alias("least")), "span-kinds")
-    later = shared.join(kinds, ["name", "print"]).filter("doc_id > least")
+    common = spans.groupBy("name").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), count).filter("least < most")
+    common = stage(common.select("name", "n"), "common-names")
+    shared = salted_join(spans, common.select("name"), "name", "inner", common)
+    shared = stage(shared.select("doc_id", F.struct("name", "print").alias("span")), "shared-spans")
+    kinds = stage(shared.groupBy("span").agg(F.min("doc_id").alias("least"), count), "span-kinds")
+    later = salted_join(shared, kinds.select("span", "least"), "span", "inner", kinds.select("span", "n")).filter("doc_id > least")
+    later = later.select("doc_id", "span.name", "span.print")
+    kinds = kinds.select("span.name", "span.print", "least")
     span_hits = later.groupBy("doc_id").agg(F.collect_list(F.struct("name", "print")).alias("spans"))
 
     several = kinds.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name")

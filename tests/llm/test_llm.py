@@ -291,3 +291,67 @@ def test_a_set_that_most_documents_have_is_one_component(spark):
     assert {r.doc_id: (r.component_id, r.kept) for r in got.collect()} == {
         i: (1, i == 1) if i % 5 else (i, True) for i in range(1, 101)
     }
+
+
+def _thue_morse(n: int, a: str, b: str) -> str:
+    return "".join((a, b)[bin(i).count("1") % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("length", [1024, 4096])
+def test_unlike_long_words_are_told_apart(spark, length):
+    """Pairs of words whose polynomial hashes are equal modulo 2^64, whatever the odd base."""
+    one = [_thue_morse(length, "a", "b") + str(i) for i in range(60)]
+    other = [_thue_morse(length, "b", "a") + str(i) for i in range(60)]
+    rows = [(1, " ".join(one)), (2, " ".join(other)), (3, f"{one[0]} a b c"), (4, f"{other[0]} a b c"), (5, one[0]), (6, other[0])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r.doc_id: r.component_id for r in near_duplicates(df, width=4).collect()} == {i: i for i in range(1, 7)}
+    assert {r.doc_id: r.n_removed for r in remove_repeats(df).collect()} == {i: 0 for i in range(1, 7)}
+    assert sorted(r.doc_id for r in keep_one(df).collect()) == [1, 2, 3, 4, 5, 6]
+
+
+def test_sequences_of_words_whose_sums_agree_are_told_apart():
+    """Thue-Morse sequences of two words, and all rotations of one sequence."""
+    from starledger.llm.hashing import stretch_prints, word_hashes
+
+    sequences = [_thue_morse(2048, "x ", "y "), _thue_morse(2048, "y ", "x ")]
+    prints = set()
+    for text in sequences:
+        lanes, counts = word_hashes([text.encode()])
+        assert counts.tolist() == [2048] and len(np.unique(lanes, axis=0)) == 2
+        first = np.arange(0, 1024)
+        prints.update(stretch_prints(lanes[:, 0], [(first, first + 1024)])[0].tolist())
+    distinct = {sequence[2 * i : 2 * i + 2048] for sequence in sequences for i in range(1024)}
+    assert len(prints) == len(distinct)
+
+
+def test_stretches_of_every_length_have_prints_of_their_own():
+    from starledger.llm.hashing import stretch_prints, word_hashes
+
+    lanes, _ = word_hashes([b"a b a b a a b b c a b a b a a b b"])
+    first, end = np.array([(i, j) for i in range(17) for j in range(i + 1, 18)]).T
+    prints = stretch_prints(lanes[:, 1], [(first, end)])[0]
+    words = b"a b a b a a b b c a b a b a a b b".split()
+    of = {}
+    for i, j, p in zip(first, end, prints.tolist()):
+        assert of.setdefault(tuple(words[i:j]), p) == p
+    assert len(set(of.values())) == len(of)
+
+
+def test_words_are_split_and_counted_as_the_pattern_says():
+    from starledger.llm import hashing
+
+    text = b"a\x1cb\x85 c\x0b\x0cd \xc2\xa0 e\r\n" * 3
+    lanes, counts = hashing.word_hashes([b"", text, b" ", text])
+    assert counts.tolist() == [0, len(WORD.findall(text)), 0, len(WORD.findall(text))]
+    assert (lanes[: counts[1]] == lanes[counts[1] :]).all()
+    long = (b"w" * 100 + b" v ") * 30_000  # longer than what is split at once
+    lanes, counts = hashing.word_hashes([long])
+    assert counts.tolist() == [60_000] and len(np.unique(lanes, axis=0)) == 2
+
+
+def test_documents_keep_columns_of_any_name(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text, 7, 8, 9.5), (1, text, 7, 8, 9.5), (2, text, 7, 8, 9.5), (3, "other " + text[:60], 7, 8, 9.5)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, _row bigint, _again bigint, _gone double")
+    got = keep_one(df)
+    assert got.columns == df.columns and sorted(map(tuple, got.collect())) == [rows[0], rows[3]]
