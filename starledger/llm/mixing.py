@@ -34,11 +34,14 @@ def _unit(digest: Column, first: int) -> Column:
 def repetition_rates(docs: DataFrame, source: str = "source", weights: Mapping[str, float] | None = None) -> DataFrame:
     """(source, rate): mean repetitions of a row so that sources meet their target weights.
 
-    ``weights`` gives relative targets; a source it lacks gets none of the output. Without
+    ``weights`` gives relative targets; a source it lacks gets none of the output, and with
+    none of its sources present there is no output. A negative weight is a ValueError. Without
     it the targets are the sources' row counts to the power ``FLATTEN``. A null source is a
     source of its own, named by null. The output has as many rows as the input, on average.
     One row per source, counted on the map side first, so a hot source costs nothing extra.
     """
+    if weights is not None and min(weights.values(), default=0) < 0:
+        raise ValueError("weights may not be negative")
     sizes = docs.groupBy(F.col(source).alias("_source")).agg(F.count(F.lit(1)).alias("_n"))
     if weights is None:
         target = F.pow(F.col("_n").cast("double"), F.lit(FLATTEN))
@@ -49,7 +52,7 @@ def repetition_rates(docs: DataFrame, source: str = "source", weights: Mapping[s
     sizes = sizes.withColumn("_target", target)
     total = sizes.agg(F.sum("_n").alias("rows"), F.sum("_target").alias("target"))
     rows, whole = (total.select(c).scalar() for c in ("rows", "target"))
-    return sizes.select("_source", F.coalesce(F.col("_target") * rows / whole / F.col("_n"), F.lit(0.0)).alias("_rate"))
+    return sizes.select("_source", F.coalesce(F.try_divide(F.col("_target") * rows, whole) / F.col("_n"), F.lit(0.0)).alias("_rate"))
 
 
 def poisson_cdf(mean: Column, terms: int = TERMS) -> Column:
