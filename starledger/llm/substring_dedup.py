@@ -250,11 +250,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     kinds = kinds.select("span.name", "span.print", "least")
     span_hits = later.groupBy("doc_id").agg(F.collect_list(F.struct("name", "print")).alias("spans"))
 
-    several = kinds.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name")
-    wanted = stage(
-        kinds.join(several, "name").groupBy(F.col("least").alias("doc_id")).agg(F.collect_list(F.struct("name", "print")).alias("wanted")),
-        "wanted-spans",
-    )
+    several = stage(kinds.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "span-names")
+    mixed = salted_join(kinds, several.select("name"), "name", "inner", several)
+    wanted = stage(mixed.groupBy(F.col("least").alias("doc_id")).agg(F.collect_list(F.struct("name", "print")).alias("wanted")), "wanted-spans")
     ids = wanted.select("doc_id")
     texts = having_ids(docs, ids, "doc_id", is_small(ids)).join(wanted, "doc_id")
     windows = stage(_edge_windows(texts, window), "edge-windows")
