@@ -69,19 +69,41 @@ STEPS, MOST_STEPS = 20, 800
 BLOCK = 256
 
 
+def bound(value: Column, function) -> Column:
+    """``function`` of a value that is computed once, however often and in whatever loop the
+    function names it. A plain column may be put back as its expression at each place."""
+    return F.transform(F.array(value), function)[0]
+
+
+def _running(values: Column, add) -> Column:
+    """Inclusive running totals of an array of longs from 0, by an associative ``add``; in
+    blocks, so that the cost stays linear in the length."""
+    zero = F.lit(0).cast("long")
+
+    def totals(items: Column, size) -> Column:
+        return F.aggregate(items, F.array(zero), lambda acc, x: F.concat(acc, F.array(add(F.element_at(acc, -1), size(x)))))
+
+    def joined(inner: Column) -> Column:
+        before = totals(inner, lambda block: F.element_at(block, -1))
+        whole = F.zip_with(inner, before, lambda block, o: F.transform(F.slice(block, F.lit(2), F.lit(BLOCK)), lambda x: add(x, o)))
+        return F.flatten(F.filter(whole, lambda x: x.isNotNull()))
+
+    def blocks(all_: Column) -> Column:
+        last = F.greatest(F.floor((F.size(all_) - 1) / BLOCK), F.lit(0)).cast("int")
+        parts = F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(all_, b * BLOCK + 1, F.lit(BLOCK)))
+        return F.transform(parts, lambda block: totals(block, lambda x: x))
+
+    return bound(bound(values, blocks), joined)
+
+
 def running_sums(values: Column) -> Column:
     """Inclusive running sums of an array of longs."""
-    zero = F.lit(0).cast("long")
+    return _running(values, lambda a, b: a + b)
 
-    def sums(start: Column, items: Column, size) -> Column:
-        return F.aggregate(items, F.array(start), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + size(x))))
 
-    last = F.greatest(F.floor((F.size(values) - 1) / BLOCK), F.lit(0)).cast("int")
-    blocks = F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(values, b * BLOCK + 1, F.lit(BLOCK)))
-    inner = F.transform(blocks, lambda block: sums(zero, block, lambda x: x))
-    offsets = sums(zero, inner, lambda block: F.element_at(block, -1))
-    whole = F.zip_with(inner, offsets, lambda block, o: F.transform(F.slice(block, F.lit(2), F.lit(BLOCK)), lambda x: x + o))
-    return F.flatten(F.filter(whole, lambda x: x.isNotNull()))
+def running_max(values: Column) -> Column:
+    """Inclusive running maxima of an array of longs of 0 and more."""
+    return _running(values, lambda a, b: F.greatest(a, b))
 
 
 def _found(df: DataFrame, name: str, pattern: str) -> DataFrame:
@@ -252,8 +274,8 @@ def scan(docs: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     long_enough = F.filter("_assign", lambda x: F.char_length(F.regexp_extract(x["match"], ASSIGN, 2)) >= ASSIGN_LEAST)
     base = [_spans(found, rank) for rank, found in enumerate((long_enough, F.col("_access"), F.col("_hex")))]
     df = df.select(*keys, F.sort_array(F.concat(*base)).alias("base"), "_token")
-    free = F.filter("_token", lambda x: ~F.exists("base", lambda b: (b.start < x.end) & (x.start < b.end)))
-    df = df.select(*keys, "base", F.transform(free, lambda x: F.struct(x.start.alias("start"), x.end.alias("end"), battery(x["match"]).alias("r"))).alias("_r"))
+    df = _with_free(df, keys)
+    df = df.select(*keys, "base", F.transform("_free", lambda x: F.struct(x.start.alias("start"), x.end.alias("end"), battery(x["match"]).alias("r"))).alias("_r"))
     rated = F.transform(
         F.filter("_r", lambda x: x.r.isNotNull()),
         lambda x: F.struct(x.start.alias("start"), x.end.alias("end"), _p_values(x.r).alias("p")),
@@ -261,6 +283,28 @@ def scan(docs: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     return df.select(*keys, "base", rated.alias("tested"))
 
 
+def _with_free(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``base`` and ``_free``: the tokens that no base span overlaps.
+
+    Spans and tokens are sorted together. A token is free when no base span before it reaches
+    beyond its start, and none after it starts before its end: running maxima from either
+    side, so the work is in proportion to spans and tokens.
+    """
+    both = (F.size("base") > 0) & (F.size("_token") > 0)
+    spans = F.transform("base", lambda s: F.struct(s.start.alias("start"), F.lit(0).alias("order"), s.end.alias("end"), F.lit("").alias("match")))
+    tokens = F.transform("_token", lambda s: F.struct(s.start.alias("start"), F.lit(1).alias("order"), s.end.alias("end"), s["match"].alias("match")))
+    df = df.select(*keys, "base", "_token", F.when(both, F.sort_array(F.concat(spans, tokens))).alias("_all"))
+    zero, far = F.lit(0).cast("long"), F.lit(1 << 40)
+    reached = F.transform("_all", lambda x: F.when(x.order == 0, x.end).otherwise(zero))
+    # How far before the end of all texts the next base span starts, from the right.
+    ahead = F.transform(F.reverse("_all"), lambda x: F.when(x.order == 0, far - x.start).otherwise(zero))
+    df = df.withColumns({"_reached": F.when(both, running_max(reached)), "_ahead": F.when(both, F.reverse(running_max(ahead)))})
+    marked = F.arrays_zip("_all", "_reached", "_ahead")
+    alone = F.filter(marked, lambda z: (z["_all"].order == 1) & (z["_reached"] <= z["_all"].start) & (far - z["_ahead"] >= z["_all"].end))
+    free = F.transform(alone, lambda z: F.struct(z["_all"].start.alias("start"), z["_all"].end.alias("end"), z["_all"]["match"].alias("match")))
+    return df.select(*keys, "base", F.coalesce(free, F.col("_token")).alias("_free"))
+
+
 def _step(p: Column) -> Column:
     return F.least(F.floor(-F.log10(F.greatest(p, F.lit(1e-300))) * STEPS), F.lit(MOST_STEPS)).cast("int")
 
@@ -318,21 +362,31 @@ def spans_text(spans: Column) -> Column:
 def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """The documents with every span, overlapping ones merged, replaced by ``mark``.
 
-    All columns stay as they are but ``text``. Null texts stay null.
+    All columns stay as they are but ``text``. Null texts stay null. The work in one text is in
+    proportion to its length and its spans: pieces are cut out of an encoding of four bytes
+    a character, where a place is found without counting from the start.
     """
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col(text).alias("_text"))
     df = find_secrets(packed, ["_doc"], "_text")
-    # Runs of text to keep: from the furthest end so far to the next start.
-    ends = F.transform(F.col("spans"), lambda s, i: F.array_max(F.transform(F.slice("spans", F.lit(1), i), lambda p: p.end)))
-    df = df.withColumn("_reach", ends)
     body = F.col(f"_doc.{text}")
-    kept = F.transform(
-        "spans",
-        lambda s, i: F.when(
-            s.start >= F.coalesce(F.get("_reach", i), F.lit(0)),
-            F.concat(F.substring(body, (F.coalesce(F.get("_reach", i), F.lit(0)) + 1).cast("int"), (s.start - F.coalesce(F.get("_reach", i), F.lit(0))).cast("int")), F.lit(mark)),
-        ).otherwise(F.lit("")),
+    some = F.size("spans") > 0
+    zero = F.array(F.lit(0).cast("long"))
+    # Runs of text to keep: from the furthest end so far to the next start.
+    reach = F.concat(zero, running_max(F.transform("spans", lambda s: s.end)))
+
+    def cut(d: Column) -> Column:
+        def piece(first: Column, end: Column) -> Column:
+            return F.decode(F.substring(d.wide, (first * 4 + 1).cast("int"), ((end - first) * 4).cast("int")), "UTF-32")
+
+        kept = F.zip_with(
+            d.spans,
+            F.slice(d.reach, F.lit(1), F.size(d.spans)),
+            lambda s, r: F.when(s.start >= r, F.concat(piece(r, s.start), F.lit(mark))).otherwise(F.lit("")),
+        )
+        return F.concat(F.array_join(kept, ""), piece(F.element_at(d.reach, -1), d.n))
+
+    whole = F.struct(
+        F.encode(body, "UTF-32").alias("wide"), reach.alias("reach"), F.col("spans").alias("spans"), F.char_length(body).cast("long").alias("n")
     )
-    tail = F.substring(body, (F.array_max("spans.end") + 1).cast("int"), F.char_length(body))
-    clean = F.when(F.size("spans") > 0, F.concat(F.array_join(kept, ""), tail)).otherwise(body)
+    clean = F.when(some, bound(whole, cut)).otherwise(body)
     return df.select(*[clean.alias(c) if c == text else F.col(f"_doc.`{c}`") for c in docs.columns])

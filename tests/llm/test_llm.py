@@ -355,3 +355,46 @@ def test_documents_keep_columns_of_any_name(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string, _row bigint, _again bigint, _gone double")
     got = keep_one(df)
     assert got.columns == df.columns and sorted(map(tuple, got.collect())) == [rows[0], rows[3]]
+
+
+def test_a_long_text_of_secrets_is_redacted_in_time(spark):
+    """50,000 lines of hex, some words between; linear in the finds of one text."""
+    import time
+
+    rnd = random.Random(9)
+    lines = ["".join(rnd.choice("0123456789abcdef") for _ in range(32)) for _ in range(50_000)]
+    text = "\n".join(f"é{x}" if i % 3 else f"password: {x} {'q' * 24}" for i, x in enumerate(lines))
+    df = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    start = time.time()
+    clean = secrets.redact(df).first().text
+    spent = time.time() - start
+    want, end = [], 0
+    for begin, _, upto, _ in _base_spans(text):
+        if begin >= end:
+            want.append(text[end:begin] + "[SECRET]")
+        end = max(end, upto)
+    assert clean == "".join(want) + text[end:]
+    assert spent < 60
+
+
+def test_tokens_beside_and_over_base_spans(spark):
+    """Only strings that overlap no pattern span are tested: the same as comparing all with all."""
+    rnd = random.Random(12)
+    parts = ["password=", "token: ", "AKIA", "QWERTY0123456789AB", "0123456789abcdef0123456789", "-", "_", " ", "é", "Ab9", "xyZ/8", "\n"]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randrange(400))) for _ in range(80)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: [(x.start, x.end) for x in r.tested] for r in secrets.scan(df, ["doc_id"]).collect()}
+    for i, text in enumerate(texts):
+        base = _base_spans(text)
+        tokens = [m.span() for m in re.finditer(secrets.TOKEN, text)]
+        free = [t for t in tokens if not any(b[0] < t[1] and t[0] < b[2] for b in base)]
+        codes = [c for c in secrets.ENCODINGS]
+        assert got[i] == [t for t in free if any(re.match(c.pattern, text[t[0] : t[1]].rstrip("=")) for c in codes)]
+
+
+def test_weights_that_no_source_has_and_negative_ones(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "doc_id bigint, source string")
+    assert mixing.replicate(df, ["doc_id"], weights={"z": 1.0}).isEmpty()
+    assert mixing.replicate(df, ["doc_id"], weights={}).isEmpty()
+    with pytest.raises(ValueError, match="negative"):
+        mixing.replicate(df, ["doc_id"], weights={"a": -1.0})
