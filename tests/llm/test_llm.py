@@ -398,3 +398,39 @@ def test_weights_that_no_source_has_and_negative_ones(spark):
     assert mixing.replicate(df, ["doc_id"], weights={}).isEmpty()
     with pytest.raises(ValueError, match="negative"):
         mixing.replicate(df, ["doc_id"], weights={"a": -1.0})
+
+
+@pytest.mark.parametrize("kind, labels", [("string", ["x", "y"]), ("double", [1.2, 1.7]), ("int", [0, 1])])
+@pytest.mark.parametrize("threshold", [0.93, 0.999])
+def test_labels_of_any_type_and_pairs_near_the_threshold(spark, kind, labels, threshold):
+    """Copies, repeated ids, ids of unusable rows, and many pairs that codes cannot decide."""
+    rnd = np.random.default_rng(6)
+    rows, base = [], rnd.normal(size=(4, 12))
+    for i in range(90):
+        angle = np.arccos(threshold) * (1 + rnd.normal() * 0.004) if i % 3 else 0.0
+        other = rnd.normal(size=12)
+        one = base[i % 4] / np.linalg.norm(base[i % 4])
+        other -= one * (other @ one)
+        v = np.cos(angle) * one + np.sin(angle) * other / np.linalg.norm(other)
+        rows.append((i, v.astype("float32").tolist(), labels[i % 2]))
+    rows += [(200, rows[0][1], labels[0]), (200, rows[1][1], labels[1]), (0, None, labels[0]), (300, None, None)]
+    x = np.array([r[1] for r in rows[:92]], np.float64)
+    unit = x / np.sqrt((x * x).sum(axis=1))[:, None]
+    link = (unit @ unit.T >= threshold) & np.array([[a[2] == b[2] for b in rows[:92]] for a in rows[:92]])
+    np.fill_diagonal(link, True)
+    reach = link | np.array([[a[0] == b[0] for b in rows[:92]] for a in rows[:92]])
+    for _ in range(7):
+        reach = (reach.astype(int) @ reach.astype(int)) > 0
+    ids = np.array([r[0] for r in rows[:92]])
+    want = [(int(ids[i]), int(link[i].sum()) - 1, int(ids[reach[i]].min())) for i in range(92)] + [(0, 0, int(ids[reach[0]].min())), (300, 0, 300)]
+    df = spark.createDataFrame([(*r, "clash", 1) for r in rows], f"vec_id bigint, embedding array<float>, label {kind}, class string, id int").repartition(3)
+    got = embedding_duplicates(df, threshold=threshold, tile=16)
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got.collect()) == sorted(want)
+    assert all(r.kept == (r.vec_id == r.component_id) for r in got.collect())
+
+
+def test_no_vectors_no_links(spark):
+    empty = spark.createDataFrame([], "vec_id bigint, embedding array<float>, label string")
+    assert embedding_duplicates(empty).isEmpty()
+    none = spark.createDataFrame([(1, None, "a"), (None, [1.0], "a"), (2, [0.0], "a")], empty.schema)
+    assert sorted(map(tuple, embedding_duplicates(none).collect()), key=repr) == [(1, 0, 1, True), (2, 0, 2, True), (None, 0, None, True)]
