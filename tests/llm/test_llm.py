@@ -434,3 +434,28 @@ def test_no_vectors_no_links(spark):
     assert embedding_duplicates(empty).isEmpty()
     none = spark.createDataFrame([(1, None, "a"), (None, [1.0], "a"), (2, [0.0], "a")], empty.schema)
     assert sorted(map(tuple, embedding_duplicates(none).collect()), key=repr) == [(1, 0, 1, True), (2, 0, 2, True), (None, 0, None, True)]
+
+
+def test_buckets_of_unlike_sets_lose_no_link(spark, monkeypatch):
+    """Many variants of one text, whose similarities lie about the threshold, in small tiles."""
+    from starledger.llm import near_dedup
+
+    monkeypatch.setattr(near_dedup, "TILE", 8)
+    rnd = random.Random(21)
+    base = [f"w{rnd.randrange(500)}" for _ in range(150)]
+    texts = []
+    for i in range(70):
+        words = list(base)
+        for _ in range(rnd.randrange(2, 12)):
+            words[rnd.randrange(150)] = f"x{rnd.randrange(10**6)}"
+        texts.append(" ".join(words))
+    sets = [{tuple(w[k : k + 4]) for k in range(len(w) - 3)} for w in map(str.split, texts)]
+    group = list(range(70))
+    for a in range(70):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) and group[a] != group[b]:
+                low, high = sorted((group[a], group[b]))
+                group = [low if g == high else g for g in group]
+    assert len(set(group)) > 10  # several components share buckets
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    assert {r.doc_id: r.component_id for r in near_duplicates(df, width=4).collect()} == dict(enumerate(group))
