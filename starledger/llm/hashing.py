@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,9 +49,8 @@ def _digests(words: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(out), np.uint64).reshape(-1, 2)
 
 
-def _hash_part(data: bytes) -> np.ndarray:
-    """Both numbers of each word of ``data``; equal words are digested once."""
-    words = data.split()  # at the six white-space bytes of WORD
+def _hash_words(words: list[bytes]) -> np.ndarray:
+    """Both numbers of each word; equal words are digested once."""
     numbered = pa.array(words, pa.binary()).dictionary_encode()
     return _digests(numbered.dictionary.to_pylist())[numbered.indices.to_numpy(zero_copy_only=False)]
 
@@ -66,8 +66,9 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
     def flush() -> None:
         if small:
-            joined.append(_hash_part(b" ".join([texts[i] for i in small])))
-            counts[small] = np.fromiter((len(texts[i].split()) for i in small), np.int64, len(small))
+            lists = [texts[i].split() for i in small]  # at the six white-space bytes of WORD
+            counts[small] = list(map(len, lists))
+            joined.append(_hash_words(list(chain.from_iterable(lists))))
             small.clear()
 
     size = 0
@@ -78,7 +79,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             while start < len(text):
                 cut = _SPACE.search(text, start + PART)
                 end = cut.start() if cut else len(text)
-                joined.append(_hash_part(text[start:end]))
+                joined.append(_hash_words(text[start:end].split()))
                 counts[i] += len(joined[-1])
                 start = end
             continue
