@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -45,7 +46,8 @@ def workspace(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    # "local-cluster[...]" has executors in processes of their own.
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     folder = tempfile.mkdtemp(prefix="starledger-")
     spark.sparkContext.setCheckpointDir(folder)
