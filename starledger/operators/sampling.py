@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starledger.functions.hashing import digest_number, key_digest
@@ -28,14 +28,15 @@ def hash_sample(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42) -> D
     """The ``n`` rows with the smallest key digests; every row when there are fewer.
 
     Sorting the whole table for its top ``n`` would send ``n`` rows from every input
-    partition to one task. Digests are uniform, so a cut at about 2n/total of their
-    range leaves about 2n rows in all. Should fewer than ``n`` fall below the cut, it is
-    lifted and every row takes part, so the result is always the exact one.
+    partition to one task. One pass counts the rows per cell of the digest's range, cells
+    growing by an eighth of a power of two: at most 385 of them, merged on the map side.
+    The first cell by which ``n`` rows are reached is the cut; beneath it lie about a tenth
+    more than ``n`` rows, and never fewer.
     """
     digest = key_digest(keys, seed)
-    place = digest_number(digest, 12) / F.lit(float(16**12))
-    total = df.agg(F.count(F.lit(1))).scalar()
-    cut = F.try_divide(F.lit(2.0 * n + 64), total)
-    below = df.filter(place <= cut).agg(F.count(F.lit(1))).scalar()
-    near = df.filter((place <= cut) | (below < n))
+    cell = F.floor(8 * F.log2(digest_number(digest, 12) + F.lit(1)))
+    counted = df.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+    reached = counted.select("cell", F.sum("n").over(Window.orderBy("cell")).alias("upto"))
+    cut = reached.filter(F.col("upto") >= n).agg(F.min("cell")).scalar()
+    near = df.filter(cell <= F.coalesce(cut, F.lit(8 * 48)))
     return near.orderBy(digest, *keys).limit(n)

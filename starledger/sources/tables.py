@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starledger.schemas import ITEM_SCHEMA, from_wire, wire_schema
+from starledger.session import stage
 
 # The error conditions of Spark and of Delta for a path without a table.
 _NOTHING_THERE = {
@@ -48,12 +49,54 @@ def read_items_csv(spark: SparkSession, path: str) -> DataFrame:
     missing one is an error. Values are cast, so an id that is not a number reads as null
     and is dropped by cleaning.
     """
-    raw = spark.read.option("header", True).option("escape", '"').csv(path)
+    raw = _csv_reader(spark).csv(path)
+    wanted = _wanted(raw, path)
+    return from_wire(raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in wanted]))
+
+
+def read_items_and_rejects(spark: SparkSession, path: str, multiline: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The item file as (items, rejects): each record is in one of them.
+
+    A record is rejected as ``unreadable`` when it has too few or too many fields or a value
+    of another type, and as ``incomplete`` when it lacks an id or title. Rejects carry the
+    reason and the record: its text as it stands in the file, or, where that could be read, its fields as CSV.
+
+    With ``multiline``, quoted values may contain line breaks. A quote that is never closed
+    then takes the lines after it into one rejected record, where otherwise it ends with
+    its line, and a file is read by one task.
+    """
+    reader = _csv_reader(spark).option("multiLine", multiline)
+    header = reader.csv(path)
+    types = {f.name: f.dataType for f in _wanted(header, path)}
+    fields = [T.StructField(name, types.get(name, T.StringType())) for name in header.columns]
+    schema = T.StructType([*fields, T.StructField(_TORN, T.StringType())])
+    # Every column is parsed: with fewer, a record that lacks fields would not be noticed.
+    reader = reader.schema(schema).option("columnNameOfCorruptRecord", _TORN).option("columnPruning", False)
+    read = stage(reader.csv(path), "items-csv")
+
+    torn, names = F.col(_TORN).isNotNull(), list(types)
+    incomplete = F.col(names[0]).isNull() | F.col(names[1]).isNull()
+    items = from_wire(read.filter(~torn & ~incomplete).select(*names))
+    rejects = read.filter(torn | incomplete).select(
+        F.when(torn, "unreadable").otherwise("incomplete").alias("reason"),
+        F.coalesce(_TORN, F.to_csv(F.struct(*header.columns))).alias("record"),
+    )
+    return items, rejects
+
+
+_TORN = "_corrupt_record"
+
+
+def _csv_reader(spark: SparkSession) -> DataFrameReader:
+    return spark.read.option("header", True).option("escape", '"')
+
+
+def _wanted(raw: DataFrame, path: str) -> T.StructType:
     wanted = wire_schema(ITEM_SCHEMA)
     missing = [f.name for f in wanted if f.name not in raw.columns]
     if missing:
         raise ValueError(f"{path} has no column {', '.join(missing)}; its header names {', '.join(raw.columns)}")
-    return from_wire(raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in wanted]))
+    return wanted
 
 
 def write_table(

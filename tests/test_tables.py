@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from starledger import session
 from starledger.schemas import ITEM_SCHEMA, from_wire, to_wire, wire_slot
-from starledger.sources.tables import is_empty, read_items_csv, read_table, safe_read_table, write_table
+from starledger.sources.tables import is_empty, read_items_and_rejects, read_items_csv, read_table, safe_read_table, write_table
 
 
 def test_missing_and_empty_folders_read_as_empty_tables(spark, tmp_path):
@@ -88,3 +88,44 @@ def test_item_file_is_read_by_header_name(spark, tmp_path):
     path.write_text("title,movieId\nfirst,1\n")
     with pytest.raises(ValueError, match="genres"):
         read_items_csv(spark, str(path))
+
+
+def _items_and_rejects(spark, path, text, multiline=False):
+    path.write_text(text)
+    items, rejects = read_items_and_rejects(spark, str(path), multiline)
+    return tuples(items), tuples(rejects)
+
+
+def test_item_csv_rejects(spark, tmp_path):
+    text = (
+        'movieId,extra,title,genres\n1,e,"One, ""the"" first",A|B\n2,e,Two,\n'
+        'x,e,Bad,A\n4,e\n5,e,"Torn,A\n6,e,Six,B,more\n,e,Nameless,A\n8,e,,A\n9,e,Nine,C\n'
+    )
+    items, rejects = _items_and_rejects(spark, tmp_path / "i.csv", text)
+    assert items == sorted([(1, 'One, "the" first', "A|B"), (2, "Two", None), (9, "Nine", "C")], key=repr)
+    assert rejects == sorted(
+        [
+            ("unreadable", "x,e,Bad,A"),
+            ("unreadable", "4,e"),
+            ("unreadable", '5,e,"Torn,A'),
+            ("unreadable", "6,e,Six,B,more"),
+            ("incomplete", ",e,Nameless,A"),
+            ("incomplete", "8,e,,A"),
+        ],
+        key=repr,
+    )
+
+
+def test_item_csv_with_line_breaks(spark, tmp_path):
+    text = 'movieId,title,genres\n1,"One\nmore",A\n2,Two,B\nx,"Bad\nid",A\n3,"Torn,C\n4,Four,D\n'
+    items, rejects = _items_and_rejects(spark, tmp_path / "i.csv", text, multiline=True)
+    assert items == [(1, "One\nmore", "A"), (2, "Two", "B")]
+    assert [reason for reason, _ in rejects] == ["unreadable", "unreadable"]
+    whole = "".join(record for _, record in rejects)
+    assert "Bad\nid" in whole and "Torn" in whole and "Four" in whole
+
+
+def test_item_csv_of_a_header_alone(spark, tmp_path):
+    assert _items_and_rejects(spark, tmp_path / "i.csv", "genres,movieId,title\n") == ([], [])
+    with pytest.raises(ValueError, match="title"):
+        _items_and_rejects(spark, tmp_path / "j.csv", "movieId,genres\n1,A\n")
