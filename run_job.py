@@ -31,6 +31,10 @@ def parse() -> argparse.Namespace:
     inspect.add_argument("--preview", type=int, default=20, help="rows to print")
     silver = sub.add_parser("silver", help="clean and enrich")
     silver.add_argument("--items", required=True, help="item file (CSV with header)")
+    silver.add_argument("--multiline", action="store_true", help="quoted values may hold line breaks")
+    compact = sub.add_parser("compact", help="rewrite the closed days of bronze to large files")
+    compact.add_argument("--before", help="first day to leave alone; today by default")
+    compact.add_argument("--megabytes", type=int, default=256, help="size of a file")
     sub.add_parser("gold", help="build the summary tables")
     features = sub.add_parser("features", help="build the feature table")
     features.add_argument("--train-only", action="store_true", help="statistics from the training folds alone")
@@ -67,7 +71,9 @@ def main() -> None:
     elif args.job == "inspect":
         jobs.run_inspect(lake, args.preview)
     elif args.job == "silver":
-        jobs.run_silver(lake, args.items)
+        jobs.run_silver(lake, args.items, args.multiline)
+    elif args.job == "compact":
+        jobs.run_compact(lake, args.before, args.megabytes << 20).show(1000, truncate=False)
     elif args.job == "gold":
         jobs.run_gold(lake)
     elif args.job == "features":

@@ -98,6 +98,11 @@ _PARTS = {
                CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS item_id, value AS rating,
                CAST(floor(epoch(ts)) AS BIGINT) AS ts
         FROM events""",
+    "dealt": """
+        SELECT user_id, item_id, rating, ts, fold % 3 + replay AS run
+        FROM (SELECT *, CAST('0x' || substr(md5(concat_ws('|', event_id, '42')), 1, 8) AS BIGINT) % 10 AS fold FROM ev),
+             (SELECT unnest([0, 1]) AS replay)
+        WHERE replay = 0 OR fold = 0""",
     "records": """
         SELECT event_id, event_type, '{"userId":' || user_id || ',"movieId":' || item_id || ',"rating":'
                || rating || ',"timestamp":' || ts || '}' AS good,
@@ -178,6 +183,43 @@ ORACLES = {
         """SELECT CASE event_type WHEN 'error' THEN '#' || good ELSE no_number END AS record
            FROM records WHERE event_type IN ('error', 'signup')""",
     ),
+    "stream_replaced": _sql(["ev", "parsed", "filled"], _EVERY_COLUMN.format("filled")),
+    "stream_late": _sql(
+        ["ev", "dealt"],
+        """, newest AS (
+               SELECT r.run, max(ts) AS newest FROM (SELECT unnest([1, 2]) AS run) AS r JOIN dealt ON dealt.run < r.run
+               GROUP BY r.run),
+           marked AS (
+               SELECT dealt.*, coalesce(ts < newest - 10 * 86400, false) AS late
+               FROM dealt LEFT JOIN newest USING (run))
+           SELECT user_id, item_id, rating, ts, 'late' AS outcome, run AS batch FROM marked WHERE late
+           UNION ALL
+           SELECT user_id, item_id, max(rating), ts, 'kept', run FROM marked AS m
+           WHERE NOT late AND run = (SELECT min(run) FROM marked AS o WHERE NOT o.late AND o.user_id = m.user_id
+                                     AND o.item_id = m.item_id AND o.ts = m.ts)
+           GROUP BY user_id, item_id, ts, run""",
+    ),
+    "stream_state": _sql(["ev"], "SELECT DISTINCT user_id, item_id, ts FROM ev"),
+    "csv_rejects": _sql(
+        ["items"],
+        """, folded AS (
+               SELECT *, CAST('0x' || substr(md5(concat_ws('|', item_id, '42')), 1, 8) AS BIGINT) % 10 AS fold FROM items)
+           SELECT 'lines' AS file,
+                  CASE WHEN fold < 3 THEN 'unreadable' WHEN fold = 3 THEN 'incomplete' ELSE 'read' END AS outcome,
+                  CASE fold WHEN 0 THEN item_id || ',"' || title || ',' || tags
+                            WHEN 1 THEN item_id || ',' || title
+                            WHEN 2 THEN 'n' || item_id || ',' || title || ',' || tags
+                            WHEN 3 THEN ',' || title || ',' || tags
+                            ELSE item_id || ',' || title || ',' || tags END AS record
+           FROM folded
+           UNION ALL
+           SELECT 'breaks', 'read', item_id || ',' || replace(title, ' ', chr(10)) || ',' || tags FROM folded""",
+    ),
+    "bronze_compacted": _sql(
+        ["ev"],
+        """SELECT user_id, item_id, rating, ts, strftime(make_timestamp(ts * 1000000), '%Y-%m-%d') AS day,
+                  CASE WHEN ts < epoch(TIMESTAMP '2024-01-20') THEN 1 ELSE -1 END AS day_files FROM ev""",
+    ),
     "csv_dim_scan": _sql(["items"], _EVERY_COLUMN.format("items")),
     "write_roundtrip": _sql(_SILVER, _SILVER_ROWS),
     "schema_replace": _sql(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -20,8 +21,15 @@ from starledger.operators.sampling import hash_sample, hash_split, with_fold
 from starledger.plans import features, gold, recommender, ridge, silver, training, trees, views
 from starledger.schemas import ITEM_RANKING_SCHEMA, RUN_LOG_SCHEMA, to_wire
 from starledger.session import fresh_path, stage, workspace
-from starledger.sources.tables import read_items_csv, read_table, safe_read_table, write_table
-from starledger.streaming import ingest
+from starledger.sources.compaction import compact_days, day_sizes, read_days
+from starledger.sources.tables import (
+    read_items_and_rejects,
+    read_items_csv,
+    read_table,
+    safe_read_table,
+    write_table,
+)
+from starledger.streaming import batches, ingest
 
 PAIR = ["user_id", "item_id"]
 MODEL_ITEM_MEAN = "Item mean"
@@ -92,6 +100,59 @@ def stream_rejects(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(rejects).filter("source_time IS NOT NULL").select("record")
 
 
+def stream_replaced(spark: SparkSession, d: str) -> DataFrame:
+    """Bronze through a sink called per batch, whose first call is lost after its write."""
+    records, bronze, checkpoint = (fresh_path(spark, n) for n in ("records", "bronze", "bronze-checkpoint"))
+    inputs.event_records(spark, d).write.text(records)
+    sink, lost = batches.replace_batch(bronze), []
+
+    def write(rows: DataFrame, stream: str, batch: int) -> None:
+        sink(rows, stream, batch)
+        if not lost:
+            lost.append(batch)
+            raise RuntimeError("lost after the write, on purpose")
+
+    for _ in range(2):
+        events = ingest.parse_events(ingest.open_stream(spark, "text", path=records))
+        try:
+            batches.each_batch(events, checkpoint, write, once=True).awaitTermination()
+        except StreamingQueryException:
+            if len(lost) != 1:
+                raise
+    return _gaps_filled(read_table(spark, bronze).drop("stream", "batch"))
+
+
+def stream_late(spark: SparkSession, d: str) -> DataFrame:
+    """Records of three runs of a stream with replays: kept, or late by over ten days."""
+    source, tables, checkpoint = (fresh_path(spark, n) for n in ("dealt", "late-tables", "late-checkpoint"))
+    events = with_fold(inputs.events(spark, d), ["event_id"])
+    run = F.col("fold") % 3
+    replays = events.filter("fold = 0").withColumn("run", run + 1)
+    rows = events.withColumn("run", run).unionByName(replays)
+    rows = stage(rows.select(*PAIR, "rating", "ts", epoch_to_timestamp(F.col("ts")).alias("at"), "run"), "dealt-runs")
+    for n in range(3):
+        rows.filter(F.col("run") == n).drop("run").write.mode("append").parquet(source)
+        stream = ingest.open_stream(spark, "parquet", path=source, schema=rows.drop("run").schema)
+        write = batches.keep_late(tables, [*PAIR, "ts"], "at", "10 days")
+        batches.each_batch(stream, checkpoint, write, once=True).awaitTermination()
+    outcomes = [
+        read_table(spark, f"{tables}/{name}").select(*PAIR, "rating", "ts", F.lit(name).alias("outcome"), "batch")
+        for name in ("kept", "late")
+    ]
+    return outcomes[0].unionByName(outcomes[1])
+
+
+def stream_state(spark: SparkSession, d: str) -> DataFrame:
+    """The keys that replay removal remembers, read from its state."""
+    source, checkpoint = fresh_path(spark, "stated"), fresh_path(spark, "stated-checkpoint")
+    events = inputs.with_replays(inputs.events(spark, d), ["event_id"])
+    events.select(*PAIR, "ts", epoch_to_timestamp(F.col("ts")).alias("at")).write.parquet(source)
+    stream = ingest.open_stream(spark, "parquet", path=source, schema=spark.read.parquet(source).schema)
+    unique = ingest.drop_replays(stream, [*PAIR, "ts"], "at", "366 days", lanes=1)
+    ingest.append_stream(unique, fresh_path(spark, "stated-out"), checkpoint, once=True).awaitTermination()
+    return batches.state_rows(spark, checkpoint).select(*PAIR, "ts")
+
+
 def ingest_rejects(spark: SparkSession, d: str) -> DataFrame:
     return ingest.rejected_records(inputs.event_records(spark, d))
 
@@ -105,6 +166,51 @@ def csv_dim_scan(spark: SparkSession, d: str) -> DataFrame:
     return read_items_csv(spark, path)
 
 
+def csv_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """Two item files, one of damaged lines and one with line breaks in titles: the items
+    read, and the rejected records with their reason."""
+    lines, broken = fresh_path(spark, "items-lines"), fresh_path(spark, "items-broken")
+    number, title, tags = F.col("item_id"), F.col("title"), F.col("tags")
+    kind = F.col("fold")
+    items = with_fold(inputs.raw_items(spark, d), ["item_id"])
+    record = (
+        F.when(kind == 0, F.concat(number, F.lit(',"'), title, F.lit(","), tags))
+        .when(kind == 1, F.concat_ws(",", number, title))
+        .when(kind == 2, F.concat(F.lit("n"), F.concat_ws(",", number, title, tags)))
+        .when(kind == 3, F.concat_ws(",", F.lit(""), title, tags))
+        .otherwise(F.concat_ws(",", number, title, tags))
+    )
+    # One column whose name is the header, and no quoting: every file is the lines as they are.
+    raw = {"header": True, "sep": "\x01", "quote": "", "ignoreLeadingWhiteSpace": False}
+    items.select(record.alias("movieId,title,genres")).write.options(**raw).csv(lines)
+    in_two = items.withColumn("title", F.replace(title, F.lit(" "), F.lit("\n"))).drop("fold")
+    to_wire(in_two).write.option("header", True).option("escape", '"').csv(broken)
+    read, rejects = read_items_and_rejects(spark, lines)
+    whole, none = read_items_and_rejects(spark, broken, multiline=True)
+    good = read.withColumn("file", F.lit("lines")).unionByName(whole.withColumn("file", F.lit("breaks")))
+    bad = rejects.withColumn("file", F.lit("lines")).unionByName(none.withColumn("file", F.lit("breaks")))
+    good = good.select("file", F.lit("read").alias("outcome"), F.concat_ws(",", "item_id", "title", "tags").alias("record"))
+    return good.unionByName(bad.withColumnRenamed("reason", "outcome"))
+
+
+def bronze_compacted(spark: SparkSession, d: str) -> DataFrame:
+    """Bronze by day of rating from three streamed batches, closed days compacted: every
+    row, and the number of files that its day has."""
+    records, bronze, checkpoint = (fresh_path(spark, n) for n in ("records", "bronze", "bronze-checkpoint"))
+    compacted = fresh_path(spark, "compacted")
+    folded = with_fold(inputs.events(spark, d), ["event_id"], folds=3).select("fold", encode_event().alias("value"))
+    for n in range(3):
+        folded.filter(F.col("fold") == n).select("value").write.mode("append").text(records)
+        events = ingest.parse_events(ingest.open_stream(spark, "text", path=records))
+        dated = events.withColumn("day", F.substring("rating_datetime", 1, 10))
+        ingest.append_stream(dated, bronze, checkpoint, partition_by=["day"], once=True).awaitTermination()
+    closed = "2024-01-20"
+    compact_days(spark, bronze, compacted, "day", before=closed)
+    files = day_sizes(spark, compacted, "day").select("day", F.col("files").alias("day_files"))
+    rows = read_days(spark, bronze, compacted, "day").join(F.broadcast(files), "day", "left")
+    return rows.select(*PAIR, "rating", "ts", F.col("day").cast("string"), F.coalesce("day_files", F.lit(-1)).alias("day_files"))
+
+
 def write_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     path = fresh_path(spark, "roundtrip")
     rows = inputs.silver_ratings(spark, d)
@@ -561,7 +667,12 @@ QUERIES = {
     "json_encode": json_encode,
     "ingest_rejects": ingest_rejects,
     "stream_rejects": stream_rejects,
+    "stream_replaced": stream_replaced,
+    "stream_late": stream_late,
+    "stream_state": stream_state,
     "csv_dim_scan": csv_dim_scan,
+    "csv_rejects": csv_rejects,
+    "bronze_compacted": bronze_compacted,
     "write_roundtrip": write_roundtrip,
     "schema_replace": schema_replace,
     "safe_read_table": safe_read,

@@ -37,6 +37,6 @@ def hash_sample(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42) -> D
     cell = F.floor(8 * F.log2(digest_number(digest, 12) + F.lit(1)))
     counted = df.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"))
     reached = counted.select("cell", F.sum("n").over(Window.orderBy("cell")).alias("upto"))
-    cut = reached.filter(F.col("upto") >= n).agg(F.min("cell")).scalar()
-    near = df.filter(cell <= F.coalesce(cut, F.lit(8 * 48)))
+    cut = reached.filter(F.col("upto") >= n).agg(F.coalesce(F.min("cell"), F.lit(8 * 48))).scalar()
+    near = df.filter(cell <= cut)
     return near.orderBy(digest, *keys).limit(n)

@@ -26,7 +26,8 @@ from starledger.schemas import (
     wire_slot,
 )
 from starledger.session import stage
-from starledger.sources.tables import is_empty, read_items_csv, read_table, safe_read_table, write_table
+from starledger.sources.compaction import TARGET_BYTES, compact_days, read_days
+from starledger.sources.tables import is_empty, read_items_and_rejects, read_table, safe_read_table, write_table
 from starledger.streaming import ingest
 
 
@@ -44,6 +45,8 @@ class Lake:
     # Not published by the original: the text of records that could not be read.
     rejects = "bronze/rejects"
     rejects_checkpoint = "bronze/checkpoints/rejects"
+    compacted = "bronze/ratings_compacted"
+    item_rejects = "silver/item_rejects"
     enriched = "silver/ratings_enriched"
     items = "silver/items"
     most_rated = "gold/most_rated_movies"
@@ -139,15 +142,38 @@ def _publish(lake: Lake, name: str, view: DataFrame, preview: int) -> None:
     print(f"   {lake.read(table).count()} rows in {table}")
 
 
-def run_silver(lake: Lake, items_csv: str) -> None:
+def run_compact(lake: Lake, before: str | None = None, target_bytes: int = TARGET_BYTES) -> DataFrame:
+    """Rewrite the closed days of a bronze table by date to large files, beside it.
+
+    Closed are the days before ``before``, or else before today. Returns the days rewritten;
+    ``run_silver`` then reads those from the large files. For Parquet; table formats with a
+    log of their own bring their own compaction.
+    """
+    if lake.fmt != "parquet":
+        raise ValueError(f"compaction is for parquet tables, not {lake.fmt}")
+    before = before or str(lake.spark.range(1).select(F.current_date()).first()[0])
+    path, into = lake.path(lake.bronze), lake.path(lake.compacted)
+    return compact_days(lake.spark, path, into, "ingest_date", before, target_bytes)
+
+
+def _bronze(lake: Lake) -> DataFrame:
+    """The bronze table, by its compacted days where there are any."""
+    table = lake.read(lake.bronze)
+    if lake.fmt == "parquet" and "ingest_date" in table.columns:
+        return read_days(lake.spark, lake.path(lake.bronze), lake.path(lake.compacted), "ingest_date")
+    return table
+
+
+def run_silver(lake: Lake, items_csv: str, multiline: bool = False) -> None:
     """Bronze and the item file to the enriched ratings and the clean items.
 
     The enriched ratings are joined with the items as written, whose files have known
-    sizes.
+    sizes. Records of the item file that cannot be used are written with their reason.
     """
-    raw_items = read_items_csv(lake.spark, items_csv)
+    raw_items, rejects = read_items_and_rejects(lake.spark, items_csv, multiline)
+    lake.write(rejects, lake.item_rejects)
     lake.write(silver.clean_items(raw_items), lake.items)
-    lake.write(silver.enrich(silver.clean_ratings(lake.read(lake.bronze)), lake.read(lake.items)), lake.enriched)
+    lake.write(silver.enrich(silver.clean_ratings(_bronze(lake)), lake.read(lake.items)), lake.enriched)
 
 
 def run_gold(lake: Lake) -> None:

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from starledger.operators.joins import lookup_join
 from starledger.session import stage
-from starledger.sources.tables import safe_read_table
+from starledger.sources.tables import read_table, safe_read_table
 
 TARGET_BYTES = 256 << 20
 
@@ -68,8 +68,8 @@ def compact_days(
 
 
 def read_days(spark: SparkSession, path: str, into: str, day: str) -> DataFrame:
-    """The whole table: finished days from ``into``, all others from ``path``."""
-    source = spark.read.parquet(path)
+    """The whole table in plain names: finished days from ``into``, all others from ``path``."""
+    source = read_table(spark, path)
     source = source.withColumn(day, F.col(day).cast("date"))
     there = safe_read_table(spark, into, source.schema).select(*source.columns)
     finished = _day_rows(source, day, "rows").join(_day_rows(there, day, "there"), day)

@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 
 from __spark_entry__ import queries
+from starledger.operators.sampling import hash_sample
 
 TABLES = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not TABLES.exists(), reason="no test tables here")
@@ -53,3 +54,9 @@ def test_top_n_does_not_sort_everything(spark):
     for name in ("top_n_items", "top_n_users", "top_rated_min_n"):
         plan = _plan(spark, name)
         assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
+
+
+def test_sample_scans_its_table_twice(spark, tmp_path):
+    spark.range(1000).write.parquet(str(tmp_path / "t"))
+    sample = hash_sample(spark.read.parquet(str(tmp_path / "t")), ["id"], 10)
+    assert sample._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2

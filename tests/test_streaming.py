@@ -116,6 +116,23 @@ def test_bronze_by_date_at_intervals_is_read_as_before(spark, tmp_path):
     assert silver.clean_ratings(bronze).count() == 5
 
 
+def test_compacted_bronze_gives_the_same_silver(spark, tmp_path):
+    lake = jobs.Lake(spark, str(tmp_path / "lake"))
+    (tmp_path / "items.csv").write_text("movieId,title,genres\n1,One,A\n2,Two,B\nx,Bad,C\n")
+    for n in range(3):
+        _put(tmp_path / "in", f"{n}.txt", [_record(u, u % 2 + 1, 1.0, n) for u in range(20)])
+        jobs.run_bronze(lake, "text", {}, str(tmp_path / "in"), once=True, by_date=True).awaitTermination()
+    jobs.run_silver(lake, str(tmp_path / "items.csv"))
+    before = tuples(lake.read(lake.enriched).select("user_id", "item_id", "rating", "ts"))
+    assert len(before) == 60
+    assert tuples(lake.read(lake.item_rejects)) == [("unreadable", "x,Bad,C")]
+    assert jobs.run_compact(lake).isEmpty()  # today is still open
+    plan = jobs.run_compact(lake, before="2999-01-01").collect()
+    assert [(r.rows, r.files_planned) for r in plan] == [(60, 1)] and plan[0].files == 3
+    jobs.run_silver(lake, str(tmp_path / "items.csv"))
+    assert tuples(lake.read(lake.enriched).select("user_id", "item_id", "rating", "ts")) == before
+
+
 def test_one_lane_is_one_state_operator(spark, tmp_path):
     _put(tmp_path / "in", "a.txt", [_record(1, 1, 1.0, 5000)] * 3)
     counts = {}
