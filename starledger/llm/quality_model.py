@@ -153,7 +153,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality", d
     Labels are learnt only where ``held_out`` is false. Texts alone are scored; null and
     empty ones have the score of no characters. If the training labels lack a class the
     score is the share of the class they have (0.5 without labels). Repeated rows are
-    scored alike. Labels of ids without a document do nothing.
+    scored alike, and learnt from once each. Labels of ids without a document do nothing.
     """
     rows = stage(with_statistics(docs, doc_id, text), "statistics")
     training = class_counts(labels, label).filter(~held_out(F.col("doc_id")))

@@ -48,6 +48,7 @@ IDENTITIES = (
 )
 _PARTNERS = {w: [x for x in kind if x != w] for kind in IDENTITIES for w in kind[:-1]}
 _WORDS = re.compile(r"\w+")
+_ENDS = re.compile(r"[.!?\n]+")
 
 
 def features(words: set[str]) -> set[str]:
@@ -62,9 +63,31 @@ def words_in(text: str | None) -> set[str]:
     return set(_WORDS.findall(text.lower())) if text else set()
 
 
-def swapped(words: set[str]) -> list[set[str]]:
-    """The word sets in which one group's name is another's, for every name and partner."""
-    return [(words - {w}) | {p} for w in words & _PARTNERS.keys() for p in _PARTNERS[w]]
+def sentences(text: str | None) -> list[set[str]]:
+    """The words of each sentence that has any."""
+    return [words for part in _ENDS.split(text or "") if (words := words_in(part))]
+
+
+def changes(text: str | None) -> list[tuple[frozenset, frozenset]]:
+    """What the document's features lose and gain when, in one sentence, one group's name
+    becomes another's: for every sentence, name and partner, each different change once.
+
+    The other sentences stay as they are, so what they have too is not lost.
+    """
+    parts = sentences(text)
+    named = [part for part in parts if not part.isdisjoint(_PARTNERS)]
+    if not named:
+        return []
+    held = Counter(f for part in parts for f in features(part))
+    found = {}
+    for part in named:
+        words = Counter(f for word in part for f in features({word}))
+        for name in sorted(part & _PARTNERS.keys()):
+            own = {f for f in features({name}) if words[f] == 1 and held[f] == 1}
+            for partner in _PARTNERS[name]:
+                new = features({partner})
+                found[frozenset(own - new), frozenset(new - held.keys())] = None
+    return list(found)
 
 
 def _sample(labels: DataFrame, label: str, bound: int) -> DataFrame:
@@ -116,22 +139,24 @@ def choose_features(sample: DataFrame, n: int = FEATURES) -> list[str]:
 
 
 def _examples(sample: DataFrame, index: dict[str, int]) -> DataFrame:
-    """(y, x, swaps): indices of a document's features and of its rewritten forms."""
+    """(y, x, lost, gained): indices of a document's features and of what each change of a
+    name takes away and adds. Changes of no chosen feature are left out."""
 
-    def numbered(words: set[str]) -> list[int]:
-        return sorted(index[f] for f in features(words) & index.keys())
+    def numbered(names) -> list[int]:
+        return sorted(index[f] for f in names if f in index)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        x, swaps = [], []
+        x, lost, gained = [], [], []
         for text in batch.column("text").to_pylist():
-            words = words_in(text)
-            x.append(numbered(words))
-            swaps.append([numbered(s) for s in swapped(words)])
-        return pa.RecordBatch.from_arrays(
-            [batch.column("y"), pa.array(x, pa.list_(pa.int32())), pa.array(swaps, pa.list_(pa.list_(pa.int32())))], names=["y", "x", "swaps"]
-        )
+            x.append(numbered(features(words_in(text))))
+            pairs = [(numbered(a), numbered(b)) for a, b in changes(text)]
+            lost.append([a for a, b in pairs if a or b])
+            gained.append([b for a, b in pairs if a or b])
+        lists = pa.list_(pa.list_(pa.int32()))
+        columns = [batch.column("y"), pa.array(x, pa.list_(pa.int32())), pa.array(lost, lists), pa.array(gained, lists)]
+        return pa.RecordBatch.from_arrays(columns, names=["y", "x", "lost", "gained"])
 
-    return map_slices(sample, run, "y int, x array<int>, swaps array<array<int>>")
+    return map_slices(sample, run, "y int, x array<int>, lost array<array<int>>, gained array<array<int>>")
 
 
 class _Rows:
@@ -150,12 +175,19 @@ class _Rows:
 
 
 def fit(y: np.ndarray, x: list[list[int]], swaps: list[list[list[int]]], width: int, weight: float = COUNTERFACTUAL) -> np.ndarray:
+    """``fit_changes`` of rewritten documents that are given whole, a list for each document."""
+    pairs = [(set(own), set(new)) for own, news in zip(x, swaps) for new in news]
+    return fit_changes(y, x, [sorted(a - b) for a, b in pairs], [sorted(b - a) for a, b in pairs], width, weight)
+
+
+def fit_changes(
+    y: np.ndarray, x: list[list[int]], lost: list[list[int]], gained: list[list[int]], width: int, weight: float = COUNTERFACTUAL
+) -> np.ndarray:
     """Weights and, last, the intercept. The loss is the mean log loss with both classes of
     equal weight, a ridge, and ``weight`` times the mean squared change of the score over
     all rewritten documents. Adam, from zero."""
     rows = _Rows(x, width)
-    pairs = [(i, s) for i, own in enumerate(swaps) for s in own]
-    ours, theirs = _Rows([x[i] for i, _ in pairs], width), _Rows([s for _, s in pairs], width)
+    ours, theirs = _Rows(lost, width), _Rows(gained, width)
     share = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
     w = np.zeros(width + 1)
     m, v = np.zeros_like(w), np.zeros_like(w)
@@ -163,9 +195,9 @@ def fit(y: np.ndarray, x: list[list[int]], swaps: list[list[list[int]]], width:
         p = 1.0 / (1.0 + np.exp(-np.clip(rows.dot(w[:-1]) + w[-1], -30, 30)))
         r = (p - y) * share
         grad = np.append(rows.back(r) + RIDGE * w[:-1], r.sum())
-        if pairs:
+        if lost:
             change = ours.dot(w[:-1]) - theirs.dot(w[:-1])
-            grad[:-1] += 2 * weight / len(pairs) * (ours.back(change) - theirs.back(change))
+            grad[:-1] += 2 * weight / len(lost) * (ours.back(change) - theirs.back(change))
         m = 0.9 * m + 0.1 * grad
         v = 0.999 * v + 0.001 * grad * grad
         w -= 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
@@ -186,7 +218,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int =
     index = {f: i for i, f in enumerate(names)}
 
     def run(table: pa.Table) -> pa.Table:
-        w = fit(np.array(table.column("y").to_pylist()), table.column("x").to_pylist(), table.column("swaps").to_pylist(), len(names), weight)
+        # Rows meet in any order; sums of the fit are the same to the last digit in one order.
+        rows = sorted(zip(*(table.column(c).to_pylist() for c in ("y", "x", "lost", "gained"))))
+        lost, gained = ([change for row in rows for change in row[i]] for i in (2, 3))
+        w = fit_changes(np.array([r[0] for r in rows]), [r[1] for r in rows], lost, gained, len(names), weight)
         return pa.table({"weights": pa.array([w.tolist()], pa.list_(pa.float64()))})
 
     fitted = _examples(sample, index).withColumn("all", F.lit(0)).groupBy("all").applyInArrow(run, "weights array<double>")
@@ -200,7 +235,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, label: str = "toxic", do
     Labels are learnt only where ``held_out`` is false, from a sample bounded by ``SAMPLE``
     documents of each class. Texts alone are scored, from first to last word; null and empty
     ones have the score of no feature. If the training labels lack a class every score is 0
-    (1 if all are toxic). Repeated rows are scored alike.
+    (1 if all are toxic). Repeated rows are scored alike, and learnt from once each.
     """
     bound_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
