@@ -1,18 +1,23 @@
 """Removal of word passages that an earlier document has, by recompression.
 
 Each document's words are replaced by symbols in rounds: a run of two equal words gets a
-name, then pairs of neighbours get names, where a letter of one half of the alphabet is
+name, then pairs of neighbours get names, where a symbol of one half of the alphabet is
 followed by one of the other half. Names and halves are hashes of what a symbol stands
 for, so all tasks name alike with no exchange, and equal passages get equal symbols except
-within a few words of their ends. Boundaries that survive the rounds are the places where
-passages are compared.
+within a few words of their ends.
 
-Why nothing is lost: whether a boundary survives depends on at most CONTEXT words on either
-side. A window of WINDOW words therefore ranks the boundaries that lie CONTEXT words inside
-it from its own words alone, and picks the same one, its anchor, wherever it occurs. An
-anchor's name is a hash of its context; documents that share a window share a name.
+Why nothing is lost: whether a boundary between symbols survives the rounds depends on at
+most EDGE words on either side, and no symbol is longer. So all symbols that lie EDGE words
+inside a passage are the passage's own, wherever it occurs.
 
-First the spans of all windows of an anchor are compared, name and span being 64 bits each,
+Repeats are revealed by shared symbols. A window of WINDOW words ranks the boundaries that
+lie REACH + EDGE words inside it by the symbols they part, and picks one, its anchor, the
+same one wherever the window occurs. An anchor's name is the row of symbols within REACH
+words of it; documents that share a window share a name.
+
+Repeats are verified by symbols too. A span is written as its symbols, and up to 2 * EDGE
+words at either end, where symbols depend on what is outside. Spans are equal where these are, as
+a symbol's name stands for its words. First the spans of all windows of an anchor are compared, name and span being 64 bits each,
 made from different halves of the words' digests. Only where one name has several spans, at the edges of passages, are windows listed
 one by one, each span in its first document alone.
 """
@@ -36,37 +41,34 @@ WINDOW = 50
 #: Rounds of pair naming after the naming of runs. Symbols then hold up to 2 * 2^PAIRS words;
 #: a boundary depends on 2 words for runs, and on 2, then 4 more for the rounds: 8.
 PAIRS = 2
-CONTEXT = 8
+EDGE = 8
+#: Words on either side of an anchor whose symbols make its name.
+REACH = 8
+CONTEXT = EDGE + REACH
 _SEED = 0x2545F4914F6CDD1D
 
 
-def _survivals(words: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """For each place, how many rounds the boundary before that word survives. ``first`` marks
-    words that begin a document; nothing is joined across them."""
-    n = len(words)
-    level = np.zeros(n, np.uint64)
-    at, symbol = np.arange(n), words
+def recompress(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place of the first word of each symbol, its two names), from the two numbers of every
+    word. ``first`` marks words that begin a document; nothing is joined across them."""
+    at, symbols = np.arange(len(words)), words
 
-    def joined(symbol, at, join, seed):
+    def joined(join: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
         """Symbols after joining those where ``join`` says so with their left neighbours."""
-        own = np.flatnonzero(~join)
-        name = symbol[own].copy()
-        tail = np.flatnonzero(join)
-        name[np.searchsorted(own, tail) - 1] = mix(mix(symbol[tail - 1] + np.uint64(seed)) + symbol[tail])
-        return name, at[own]
-
-    start = first.copy()
-    same = np.concatenate(([False], symbol[1:] == symbol[:-1])) & ~start
+        own, tail = np.flatnonzero(~join), np.flatnonzero(join)
+        names = symbols[own].copy()
+        names[np.searchsorted(own, tail) - 1] = mix(mix(symbols[tail - 1] + np.uint64(seed)) + symbols[tail])
+        return at[own], names
+
+    same = np.concatenate(([False], (symbols[1:] == symbols[:-1]).all(axis=1))) & ~first
     before = np.concatenate(([False], same[:-1]))
     after = np.concatenate((same[1:], [False]))
-    symbol, at = joined(symbol, at, same & ~before & ~after, 11)  # runs of exactly two
-    level[at] = 1
+    at, symbols = joined(same & ~before & ~after, 11)  # runs of exactly two
     for r in range(PAIRS):
-        right = (mix(symbol ^ np.uint64(_SEED + r)) >> np.uint64(63)).astype(bool)
+        right = (mix(symbols[:, 0] ^ np.uint64(_SEED + r)) >> np.uint64(63)).astype(bool)
         join = np.concatenate(([False], right[1:] & ~right[:-1])) & ~first[at]
-        symbol, at = joined(symbol, at, join, 13 + r)
-        level[at] = r + 2
-    return level
+        at, symbols = joined(join, 13 + r)
+    return at, symbols
 
 
 class Anchors:
@@ -88,9 +90,11 @@ class Anchors:
         if not len(starts):
             self.anchor = self.low = self.high = self.group = np.empty(0, np.int64)
             return
-        level = _survivals(self.words, first)
-        around = self.words + mix(np.concatenate((self.words[-1:], self.words[:-1])))
-        rank = (level << np.uint64(61)) | (mix(around) >> np.uint64(3))
+        self.at, self.symbols = recompress(self.lanes, first)
+        # A boundary ranks by the symbols that it parts. Any EDGE places in a row hold one.
+        names = self.symbols[:, 0]
+        rank = np.zeros(n, np.uint64)
+        rank[self.at] = mix(names + mix(np.concatenate((names[-1:], names[:-1])))) | np.uint64(1)
         free = window - 2 * CONTEXT + 1
         inner = np.lib.stride_tricks.sliding_window_view(rank, free)
         picked = np.empty(len(starts), np.int64)
@@ -104,18 +108,27 @@ class Anchors:
         self.low = starts[new]
         self.high = starts[np.concatenate((np.flatnonzero(new)[1:] - 1, [len(starts) - 1]))]
 
-    def _prints(self, lane: int, first: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return stretch_prints(self.lanes[:, lane], [(first, end)])[0].view(np.int64)
+    def _within(self, first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The first and the end of the symbols that lie wholly within stretches of words."""
+        low = np.searchsorted(self.at, first)
+        return low, np.maximum(np.searchsorted(self.at, end, "right") - 1, low)
+
+    def _prints(self, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Of stretches of a window or more: their own symbols, and the words at both ends."""
+        low, high = self._within(first + EDGE, end - EDGE)
+        (middle,) = stretch_prints(self.symbols[:, 1], [(low, high)])
+        left, right = stretch_prints(self.lanes[:, 1], [(first, self.at[low]), (self.at[high], end)])
+        return mix(mix(mix(left) + middle) + right).view(np.int64)
 
     def names(self) -> np.ndarray:
         """From one half of each word's digest; prints come from the other."""
-        return self._prints(0, self.anchor - CONTEXT, self.anchor + CONTEXT)
+        return stretch_prints(self.symbols[:, 0], [self._within(self.anchor - REACH, self.anchor + REACH)])[0].view(np.int64)
 
     def spans(self) -> np.ndarray:
-        return self._prints(1, self.low, self.high + self.window)
+        return self._prints(self.low, self.high + self.window)
 
     def windows(self, starts: np.ndarray) -> np.ndarray:
-        return self._prints(1, starts, starts + self.window)
+        return self._prints(starts, starts + self.window)
 
 
 _PAIR = pa.struct([("name", pa.int64()), ("print", pa.int64())])
@@ -219,8 +232,8 @@ def _result(docs: DataFrame, window: int) -> DataFrame:
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_text, kept_sha256) per row of ``docs``.
 
-    A word goes when a window of ``window`` consecutive words that covers it also starts in
-    a document with a smaller id; all windows are judged on the input. Kept words are joined
+    A word goes when a window of ``window`` consecutive words (33 or more) that covers it also
+    starts in a document with a smaller id; all windows are judged on the input. Kept words are joined
     by one blank. Null and wordless texts keep nothing. Rows with equal ids are not earlier
     than each other; a null id is neither earlier nor later than any. No other column is
     read, and an empty table gives an empty result.

@@ -84,9 +84,10 @@ def test_one_row_of_a_repeated_document_stays(spark):
     assert got == {(1, " ".join(other)): 1, (3, " ".join(third)): 1, (5, ""): 2, (None, " ".join(one)): 2}
 
 
-def test_remove_repeats_equals_brute_force(docs):
+def _without_repeats(rows):
+    """(n_words, n_removed, kept_sha256) per id, windows compared as tuples of words."""
     seen, want = {}, {}
-    for i, text in sorted((i, t) for i, t, *_ in _texts()):
+    for i, text in sorted(rows):
         w = WORD.findall((text or "").encode())
         gone = set()
         for s in range(len(w) - 49):
@@ -94,10 +95,58 @@ def test_remove_repeats_equals_brute_force(docs):
                 gone.update(range(s, s + 50))
         kept = b" ".join(x for k, x in enumerate(w) if k not in gone)
         want[i] = (len(w), len(gone), hashlib.sha256(kept).hexdigest())
+    return want
+
+
+def test_remove_repeats_equals_brute_force(docs):
+    want = _without_repeats([(i, t) for i, t, *_ in _texts()])
     got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in remove_repeats(docs).collect()}
     assert got == want
 
 
+def test_remove_repeats_in_runs_periods_and_few_words(spark):
+    """Runs of one word, periods of 2 to 70 words, texts of two words only, and passages of 49 to 120
+    words cut out of other documents and put after one another."""
+    rnd = random.Random(11)
+    texts = [["la"] * n for n in (49, 50, 51, 130)]
+    texts += [[f"p{i % period}" for i in range(150 + period)] for period in (2, 3, 8, 49, 50, 51, 70)]
+    texts += [[rnd.choice("ab") for _ in range(200)] for _ in range(8)]
+    texts += [[f"w{rnd.randrange(400)}" for _ in range(300)] for _ in range(8)]
+    for _ in range(40):
+        parts = []
+        for _ in range(3):
+            source, n = rnd.choice(texts), rnd.randrange(49, 121)
+            start = rnd.randrange(max(len(source) - n, 0) + 1)
+            parts += source[start : start + n] + [f"u{rnd.randrange(10**6)}"] * rnd.randrange(4)
+        texts.append(parts)
+    order = rnd.sample(range(1, 1000), len(texts))
+    rows = [(i, " ".join(t)) for i, t in zip(order, texts)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in remove_repeats(df).collect()}
+    want = _without_repeats(rows)
+    assert got == want and 20 < sum(n_removed > 0 for _, n_removed, _ in want.values()) < len(rows)
+
+
+def test_symbols_inside_equal_passages_are_equal():
+    """Whatever surrounds a passage, its symbols are the same from EDGE words inside it."""
+    from starledger.llm.hashing import word_hashes
+    from starledger.llm.substring_dedup import EDGE, recompress
+
+    rnd = random.Random(4)
+    for alphabet in (1, 2, 3, 30):
+        passage = [f"w{rnd.randrange(alphabet)}" for _ in range(80)]
+        seen = set()
+        for _ in range(20):
+            before, after = ([f"w{rnd.randrange(alphabet + 1)}" for _ in range(rnd.randrange(30))] for _ in range(2))
+            lanes, counts = word_hashes([" ".join(before + passage + after).encode()])
+            at, symbols = recompress(lanes, np.arange(counts[0]) == 0)
+            assert np.diff(at).max(initial=0) <= EDGE
+            at = at - len(before)
+            low, high = np.searchsorted(at, EDGE), np.searchsorted(at, 80 - EDGE, "right")
+            seen.add((tuple(at[low:high]), symbols[low : high - 1].tobytes()))
+        assert len(seen) == 1
+
+
 def test_token_counts_and_pieces_are_those_of_the_library(docs):
     from tokenizers import Tokenizer
 
