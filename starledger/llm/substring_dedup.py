@@ -7,16 +7,16 @@ for, so all tasks name alike with no exchange, and equal passages get equal symb
 within a few words of their ends.
 
 Why nothing is lost: whether a boundary between symbols survives the rounds depends on at
-most EDGE words on either side, and no symbol is longer. So all symbols that lie EDGE words
-inside a passage are the passage's own, wherever it occurs.
+most EDGE words on either side. So all symbols that lie EDGE words inside a passage are the
+passage's own, wherever it occurs.
 
 Repeats are revealed by shared symbols. A window of WINDOW words ranks the boundaries that
 lie REACH + EDGE words inside it by the symbols they part, and picks one, its anchor, the
 same one wherever the window occurs. An anchor's name is the row of symbols within REACH
 words of it; documents that share a window share a name.
 
-Repeats are verified by symbols too. A span is written as its symbols, and up to 2 * EDGE
-words at either end, where symbols depend on what is outside. Spans are equal where these are, as
+Repeats are verified by symbols too. A span is written as its symbols, and the
+words at either end, fewer than EDGE + LONGEST, whose symbols depend on what is outside. Spans are equal where these are, as
 a symbol's name stands for its words. First the spans of all windows of an anchor are compared, name and span being 64 bits each,
 made from different halves of the words' digests. Only where one name has several spans, at the edges of passages, are windows listed
 one by one, each span in its first document alone.
@@ -38,12 +38,16 @@ from starledger.operators.joins import salted_join
 from starledger.session import stage
 
 WINDOW = 50
-#: Rounds of pair naming after the naming of runs. Symbols then hold up to 2 * 2^PAIRS words;
-#: a boundary depends on 2 words for runs, and on 2, then 4 more for the rounds: 8.
+#: Rounds of pair naming after the naming of runs, and the most words that a symbol then holds.
 PAIRS = 2
-EDGE = 8
-#: Words on either side of an anchor whose symbols make its name.
-REACH = 8
+LONGEST = 2 << PAIRS
+#: Words on either side that a boundary depends on. Whether two words are a run depends on the
+#: next word too, so the run or word beside a boundary is known from 3 words; the first round
+#: asks for that. The second asks whether it was joined with the one before it, which has 2
+#: words at most and is known from 3 in the same way: 2 + 3.
+EDGE = 5
+#: Words on either side of an anchor whose symbols make its name, and rank it.
+REACH = LONGEST
 CONTEXT = EDGE + REACH
 _SEED = 0x2545F4914F6CDD1D
 
@@ -91,7 +95,7 @@ class Anchors:
             self.anchor = self.low = self.high = self.group = np.empty(0, np.int64)
             return
         self.at, self.symbols = recompress(self.lanes, first)
-        # A boundary ranks by the symbols that it parts. Any EDGE places in a row hold one.
+        # A boundary ranks by the symbols that it parts. Any LONGEST places in a row hold one.
         names = self.symbols[:, 0]
         rank = np.zeros(n, np.uint64)
         rank[self.at] = mix(names + mix(np.concatenate((names[-1:], names[:-1])))) | np.uint64(1)
@@ -238,8 +242,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     than each other; a null id is neither earlier nor later than any. No other column is
     read, and an empty table gives an empty result.
     """
-    if window < 2 * CONTEXT + 1:
-        raise ValueError(f"a window needs more than {2 * CONTEXT} words")
+    if window < 2 * CONTEXT + LONGEST - 1:
+        raise ValueError(f"a window needs {2 * CONTEXT + LONGEST - 1} words or more")
     bound_batches(docs.sparkSession)
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     rows = stage(_prints(docs, window).filter(F.col("n_words") >= window).filter("doc_id IS NOT NULL"), "prints")
@@ -253,8 +257,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     heads = rows.join(copies, ["doc_id", "digest"], "left_anti")
 
     spans = heads.select("doc_id", F.explode("spans").alias("s")).select("doc_id", "s.name", "s.print")
-    common = spans.groupBy("name").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), count).filter("least < most")
-    common = stage(common.select("name", "n"), "common-names")
+    # Counts alone: names that only one document has, but twice, go on and find nothing earlier.
+    common = stage(spans.groupBy("name").agg(count).filter("n > 1"), "common-names")
     shared = salted_join(spans, common.select("name"), "name", "inner", common)
     shared = stage(shared.select("doc_id", F.struct("name", "print").alias("span")), "shared-spans")
     kinds = stage(shared.groupBy("span").agg(F.min("doc_id").alias("least"), count), "span-kinds")
