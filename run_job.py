@@ -6,7 +6,7 @@ import argparse
 
 from starledger.plans import jobs
 from starledger.plans.training import ALS_BLOCKS
-from starledger.session import build_session
+from starledger.session import build_session, temporary_tables
 from starledger.streaming.ingest import kafka_options
 
 
@@ -51,6 +51,28 @@ def parse() -> argparse.Namespace:
     return parser.parse_args()
 
 
+def run_batch(lake: jobs.Lake, args: argparse.Namespace) -> None:
+    """Any job but the stream; all of them have written their results when they end."""
+    if args.job == "inspect":
+        jobs.run_inspect(lake, args.preview)
+    elif args.job == "silver":
+        jobs.run_silver(lake, args.items, args.multiline)
+    elif args.job == "compact":
+        jobs.run_compact(lake, args.before, args.megabytes << 20).show(1000, truncate=False)
+    elif args.job == "gold":
+        jobs.run_gold(lake)
+    elif args.job == "features":
+        jobs.run_features(lake, args.train_only)
+    elif args.job == "als":
+        print(jobs.run_als(lake, args.blocks, args.seed))
+    elif args.job == "regression":
+        print("best model:", jobs.run_regression(lake))
+    elif args.job == "audit":
+        jobs.run_audit(lake)
+    else:
+        jobs.run_views(lake, args.top, args.min_ratings, args.model, args.preview)
+
+
 def main() -> None:
     args = parse()
     lake = jobs.Lake(build_session(f"starledger {args.job}"), args.root, args.format)
@@ -68,24 +90,9 @@ def main() -> None:
             lake.spark.streams.awaitAnyTermination()  # either stream's error ends the job
         for stream in streams:
             stream.awaitTermination() if args.once else stream.stop()
-    elif args.job == "inspect":
-        jobs.run_inspect(lake, args.preview)
-    elif args.job == "silver":
-        jobs.run_silver(lake, args.items, args.multiline)
-    elif args.job == "compact":
-        jobs.run_compact(lake, args.before, args.megabytes << 20).show(1000, truncate=False)
-    elif args.job == "gold":
-        jobs.run_gold(lake)
-    elif args.job == "features":
-        jobs.run_features(lake, args.train_only)
-    elif args.job == "als":
-        print(jobs.run_als(lake, args.blocks, args.seed))
-    elif args.job == "regression":
-        print("best model:", jobs.run_regression(lake))
-    elif args.job == "audit":
-        jobs.run_audit(lake)
     else:
-        jobs.run_views(lake, args.top, args.min_ratings, args.model, args.preview)
+        with temporary_tables(lake.spark):
+            run_batch(lake, args)
 
 
 if __name__ == "__main__":

@@ -5,10 +5,17 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Paths staged by the innermost ``temporary_tables`` of this thread.
+_STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+
 def build_session(app_name: str = "starledger", master: str | None = None, **conf: str) -> SparkSession:
     """A session with UTC timestamps, adaptive plans and a disk-backed stream state.
 
@@ -67,5 +74,28 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
+    listed = _STAGED.get()
+    if listed is not None:
+        listed.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Remove what ``stage`` writes within the block, in this thread, once the block has ended.
+
+    Nothing made in the block that still reads a staged table can be used afterwards. After
+    an error the tables stay, as do those staged outside of any block.
+    """
+    paths: list[str] = []
+    token = _STAGED.set(paths)
+    try:
+        yield
+    finally:
+        _STAGED.reset(token)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        place = hadoop(path)
+        place.getFileSystem(conf).delete(place, True)
