@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from starledger.functions.events import encode_event
 from starledger.operators.sampling import with_fold
 from starledger.plans import features, silver, training
-from starledger.session import fresh_path, pin, stage
+from starledger.session import GROUP_BYTES, bound_tasks, fresh_path, pin, stage
 
 
 # The columns read of each test table. Naming them saves a pass over
@@ -26,7 +26,7 @@ COLUMNS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return pin(spark).read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
+    return bound_tasks(pin(spark)).read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def raw_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,7 +106,7 @@ class Shared:
     _built: dict[tuple, object] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = pin(spark), sf_dir
+        self.spark, self.sf_dir = bound_tasks(pin(spark)), sf_dir
 
     def _once(self, what: str, build):
         key = (self.spark.sparkContext.applicationId, self.sf_dir, what)
@@ -116,24 +116,24 @@ class Shared:
 
     def ratings(self) -> DataFrame:
         def build():
-            return stage(silver_ratings(self.spark, self.sf_dir).select(*silver.RATING_COLUMNS), "silver")
+            return stage(silver_ratings(self.spark, self.sf_dir).select(*silver.RATING_COLUMNS), "silver", GROUP_BYTES)
 
         return self._once("ratings", build)
 
     def base(self) -> DataFrame:
         def build():
             items = clean_items(self.spark, self.sf_dir)
-            return stage(features.features_base(self.ratings(), items), "features-base")
+            return stage(features.features_base(self.ratings(), items), "features-base", GROUP_BYTES)
 
         return self._once("base", build)
 
     def features(self) -> DataFrame:
-        return self._once("features", lambda: stage(features.encode_features(self.base())[1], "features"))
+        return self._once("features", lambda: stage(features.encode_features(self.base())[1], "features", GROUP_BYTES))
 
     def split(self) -> tuple[DataFrame, DataFrame]:
         def build():
             train, test = training.labelled(self.features())
-            return stage(train, "train"), stage(test, "test")
+            return stage(train, "train", GROUP_BYTES), stage(test, "test", GROUP_BYTES)
 
         return self._once("split", build)
 

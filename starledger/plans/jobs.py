@@ -25,7 +25,7 @@ from starledger.schemas import (
     to_wire,
     wire_slot,
 )
-from starledger.session import stage
+from starledger.session import GROUP_BYTES, stage
 from starledger.sources.compaction import TARGET_BYTES, compact_days, read_days
 from starledger.sources.tables import is_empty, read_items_and_rejects, read_table, safe_read_table, write_table
 from starledger.streaming import ingest
@@ -196,7 +196,7 @@ def run_features(lake: Lake, train_only: bool = False) -> None:
     training folds alone, so that no test rating tells about itself."""
     ratings = lake.read(lake.enriched)
     stats_from = hash_split(ratings, training.PAIR)[0] if train_only else None
-    base = stage(features.features_base(ratings, lake.read(lake.items), stats_from), "features-base")
+    base = stage(features.features_base(ratings, lake.read(lake.items), stats_from), "features-base", GROUP_BYTES)
     lake.write(features.encode_features(base)[1], lake.features, replace_schema=True)
 
 
@@ -240,7 +240,7 @@ def run_regression(lake: Lake) -> str:
     Train and test rows are written once and read by every fit.
     """
     table = lake.read(lake.features)
-    train, test = (stage(part, "split") for part in training.labelled(table))
+    train, test = (stage(part, "split", GROUP_BYTES) for part in training.labelled(table))
     counts = {"train_rows": train.count(), "test_rows": test.count()}
     trained = []
     for name, (_, settings) in training.REGRESSORS.items():

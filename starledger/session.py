@@ -12,6 +12,10 @@ from contextvars import ContextVar
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: What one task reads, from files and, with adaptive plans, from a shuffle: its memory follows
+#: from these, whatever the size of the tables. Large tables are staged in row groups small
+#: enough for that. Shuffles are dealt finely and their parts joined up to the size.
+TASK_BYTES, GROUP_BYTES, SHUFFLE_PARTS = 16 << 20, 4 << 20, 400
 #: Paths staged by the innermost ``temporary_tables`` of this thread.
 _STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
@@ -35,7 +39,7 @@ def build_session(app_name: str = "starledger", master: str | None = None, **con
     }
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return pin(builder.getOrCreate())
+    return bound_tasks(pin(builder.getOrCreate()))
 
 
 def pin(spark: SparkSession) -> SparkSession:
@@ -44,6 +48,19 @@ def pin(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def bound_tasks(spark: SparkSession) -> SparkSession:
+    """Bound what one task reads, in settings that the submitter has left alone."""
+    parts = max(SHUFFLE_PARTS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    for key, value in {
+        "spark.sql.files.maxPartitionBytes": TASK_BYTES,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": TASK_BYTES,
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": parts,
+    }.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, str(value))
+    return spark
+
+
 def workspace(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
@@ -66,18 +83,20 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{workspace(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, group_bytes: int | None = None) -> DataFrame:
     """Write ``df`` once to the workspace and read it back.
 
     Used where several jobs need the same rows: it cuts the lineage, survives the
-    loss of executors, and gives the planner real file sizes.
+    loss of executors, and gives the planner real file sizes. ``group_bytes`` sets the
+    size of row groups, beneath which no file is cut among tasks.
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
     listed = _STAGED.get()
     if listed is not None:
         listed.append(path)
-    df.write.parquet(path)
+    writer = df.write if group_bytes is None else df.write.option("parquet.block.size", group_bytes)
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starledger.plans import jobs
-from starledger.session import stage, temporary_tables, workspace
+from starledger.session import GROUP_BYTES, TASK_BYTES, bound_tasks, stage, temporary_tables, workspace
 from starledger.sources.tables import write_table
 
 
@@ -64,3 +64,23 @@ def test_a_job_leaves_its_results_alone(spark, tmp_path):
         assert _here(spark) > before
     assert _here(spark) == before
     assert lake.read(lake.enriched).count() == lake.read(lake.pairs).count() == lake.read(lake.features).count() == 40
+
+
+def test_a_large_staged_file_is_read_by_many_tasks(spark):
+    rows = spark.range(0, 4_000_000, numPartitions=1).select(F.rand(7).alias("x"))  # 32 MB, one file
+    read = stage(rows, "large", GROUP_BYTES)
+    each = [r["n"] for r in read.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sum(each) == 4_000_000 and 8 * max(each) <= TASK_BYTES + 2 * GROUP_BYTES
+
+
+def test_settings_of_the_submitter_stay(spark):
+    files, joined, dealt = (
+        "spark.sql.files.maxPartitionBytes",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+    )
+    own = spark.newSession()
+    own.conf.set(joined, "3m")
+    own.conf.set("spark.sql.shuffle.partitions", "900")
+    bound_tasks(own)
+    assert own.conf.get(joined) == "3m" and own.conf.get(files) == str(TASK_BYTES) and own.conf.get(dealt) == "900"
