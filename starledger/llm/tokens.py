@@ -22,9 +22,10 @@ from starledger.session import stage
 
 #: Bytes of text whose words are numbered together, so that each is looked up once.
 SLICE_BYTES = 4 << 20
-#: Words remembered per worker, some 100 MB. The first met are kept, which are nearly all
-#: the frequent ones.
+#: Words remembered per worker, some 80 MB, their ids as bytes, which take a third of what
+#: small arrays do. The first met are kept, which are nearly all the frequent ones.
 REMEMBERED = 400_000
+ID_BYTES = np.dtype(np.uint32).itemsize
 #: Texts of more characters than this are encoded in chunks of it.
 CHUNK_CHARS = 32_768
 #: Characters that neighbouring chunks share at first. Where no common boundary lies in
@@ -49,13 +50,13 @@ class Encoder:
         if self.tokenizer.normalizer is not None or type(self.tokenizer.pre_tokenizer).__name__ != "ByteLevel":
             raise ValueError("cutting texts is proven for byte-level BPE without a normalizer only")
         self.longest_special = max((len(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()), default=0)
-        self.known: dict[str, np.ndarray] = {}
-        self.marks = {mark: self.whole(mark) for mark in ".,"}
+        self.known: dict[str, bytes] = {}
+        self.marks = {mark: self.whole(mark).tobytes() for mark in ".,"}
 
     def whole(self, text: str) -> np.ndarray:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def _together(self, words: list[str], lead: str) -> list[np.ndarray]:
+    def _together(self, words: list[str], lead: str) -> list[bytes]:
         """Ids of many words encoded as one text, told apart by their places. ``lead`` is put
         before each; a line break there is a token by itself and is left out."""
         e = self.tokenizer.encode("".join([lead + w for w in words]), add_special_tokens=False)
@@ -63,26 +64,26 @@ class Encoder:
         starts = np.fromiter((a for a, _ in e.offsets), np.int64, len(e))
         ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + len(lead))
         cuts = [0, *np.searchsorted(starts, ends).tolist()]
-        return [ids[x + len(lead) : y] for x, y in zip(cuts, cuts[1:])]
+        return [ids[x + len(lead) : y].tobytes() for x, y in zip(cuts, cuts[1:])]
 
-    def ids_of(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of distinct pieces of text. What ends in a stop or comma behind a letter or digit
+    def ids_of(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct pieces of text, four bytes each. What ends in a stop or comma behind a letter or digit
         is the rest and the mark."""
         known, out, later = self.known, {}, ([], [])
         found = list(map(known.get, words))
         for word in [w for w, x in zip(words, found) if x is None]:
             mark = self.marks.get(word[-1:])
             if mark is not None and word[-2:-1].isalnum() and (bare := known.get(word[:-1])) is not None:
-                out[word] = np.concatenate((bare, mark))
+                out[word] = bare + mark
             elif not word.strip() or word[-1].isspace() or word[1:2].isspace() or (word[0] != " " and word[0].isspace()):
-                out[word] = self.whole(word)
+                out[word] = self.whole(word).tobytes()
             else:
                 later[word[0] == " "].append(word)
         for words_, lead in zip(later, ("\n", "")):
             if words_:
                 out.update(zip(words_, self._together(words_, lead)))
         if len(known) < REMEMBERED:
-            known.update((w, x.copy()) for w, x in out.items())
+            known.update(out)
         return [out[w] if x is None else x for w, x in zip(words, found)]
 
     def _cut(self, texts: pa.Array) -> pa.ListArray:
@@ -108,13 +109,13 @@ class Encoder:
             numbered = numbered.combine_chunks()
         codes = numbered.indices.to_numpy(zero_copy_only=False)
         ids = self.ids_of(numbered.dictionary.to_numpy(zero_copy_only=False).tolist())
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // ID_BYTES
         begin = np.concatenate(([0], np.cumsum(size)))[:-1]
         upto = np.concatenate(([0], np.cumsum(size[codes])))
         ends = upto[np.asarray(lists.offsets)[1:] - lists.offsets[0].as_py()]
         flat = None
         if not counts_only:
-            pool = np.concatenate(ids) if ids else np.empty(0, np.uint32)
+            pool = np.frombuffer(b"".join(ids), np.uint32)
             flat = pool[np.repeat(begin[codes] - upto[:-1], size[codes]) + np.arange(upto[-1])]
         for i in np.flatnonzero(with_nul.to_numpy(zero_copy_only=False)):
             own = self.whole(texts[i].as_py())

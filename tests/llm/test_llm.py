@@ -5,13 +5,15 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import sys
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from starledger.llm import mixing, quality_rules, secrets
+from starledger.llm import common, mixing, quality_rules, secrets, tokens
 from starledger.llm.embedding_dedup import embedding_duplicates
 from starledger.llm.near_dedup import keep_one, near_duplicates
 from starledger.llm.packing import pack_documents, patterns, slots
@@ -508,3 +510,26 @@ def test_buckets_of_unlike_sets_lose_no_link(spark, monkeypatch):
     assert len(set(group)) > 10  # several components share buckets
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
     assert {r.doc_id: r.component_id for r in near_duplicates(df, width=4).collect()} == dict(enumerate(group))
+
+
+def test_remembered_words_are_small_and_right():
+    own = tokens.Encoder(tokenizer_path())
+    text = " ".join(f"word{i}, Straße{i}." for i in range(300)) + "\n"
+    _, ids = own.encode(pa.array([text, "", text]))
+    whole = own.tokenizer.encode(text, add_special_tokens=False).ids
+    assert ids.tolist() == whole * 2
+    assert own.known and max(map(sys.getsizeof, own.known.values())) < 80
+
+
+def test_a_task_gives_back_memory_behind_its_last_slice(monkeypatch):
+    calls = []
+
+    class Table:
+        def mapInArrow(self, run, schema):
+            return run
+
+    monkeypatch.setattr(common, "release", lambda: calls.append("released"))
+    run = common.map_slices(Table(), lambda part: calls.append(part.num_rows), "n bigint", limit=4)
+    list(run([pa.record_batch({"text": ["abc", "abc", None]})]))
+    list(run([]))
+    assert calls == [1, 2, "released", "released"]
