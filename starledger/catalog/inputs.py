@@ -133,7 +133,7 @@ class Shared:
     def split(self) -> tuple[DataFrame, DataFrame]:
         def build():
             train, test = training.labelled(self.features())
-            return stage(train, "train", GROUP_BYTES), stage(test, "test", GROUP_BYTES)
+            return stage(training.like_together(train), "train", GROUP_BYTES), stage(test, "test", GROUP_BYTES)
 
         return self._once("split", build)
 

@@ -240,7 +240,8 @@ def run_regression(lake: Lake) -> str:
     Train and test rows are written once and read by every fit.
     """
     table = lake.read(lake.features)
-    train, test = (stage(part, "split", GROUP_BYTES) for part in training.labelled(table))
+    train, test = training.labelled(table)
+    train, test = (stage(part, "split", GROUP_BYTES) for part in (training.like_together(train), test))
     counts = {"train_rows": train.count(), "test_rows": test.count()}
     trained = []
     for name, (_, settings) in training.REGRESSORS.items():

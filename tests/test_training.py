@@ -2,6 +2,7 @@ import pytest
 from conftest import tuples
 from pyspark.sql import functions as F
 
+from starledger.catalog.inputs import Shared
 from starledger.operators.metrics import regression_metrics
 from starledger.operators.sampling import hash_split
 from starledger.plans import features, training
@@ -60,6 +61,27 @@ def test_every_model_learns(table, trained):
         assert result.metrics["r2"] > 0.8, result
 
 
+def test_training_rows_of_like_features_follow_each_other(table):
+    train, _ = training.labelled(table)
+    gathered = training.like_together(train.repartition(2, "title"))
+    assert tuples(gathered) == tuples(train)
+    means = [features.NUMERIC_FEATURES.index(f"{side}_avg_rating") for side in ("user", "item")]
+    for part in gathered.rdd.glom().collect():
+        pairs = [tuple(round(float(r.features[i]) * 4) for i in means) for r in part]
+        assert pairs and pairs == sorted(pairs)
+
+
+def test_shared_training_rows_are_stored_that_way(spark, table, tmp_path):
+    shared = Shared(spark, str(tmp_path))
+    shared._once("features", lambda: table)
+    rows = shared.split()[0]
+    i = features.NUMERIC_FEATURES.index("user_avg_rating")
+    for part in rows.rdd.glom().collect():
+        users = [round(float(r.features[i]) * 4) for r in part]
+        assert users == sorted(users)
+    assert tuples(rows) == tuples(training.labelled(table)[0])
+
+
 def test_unpenalised_linear_model_finds_the_rule(table):
     train, test = training.labelled(table)
     result = training.train_regressor(train, test, "Linear Regression", {"regParam": 0.0})
