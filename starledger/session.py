@@ -83,6 +83,15 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{workspace(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def temporary_path(spark: SparkSession, label: str) -> str:
+    """A fresh path that ``temporary_tables`` removes, if one is open in this thread."""
+    path = fresh_path(spark, label)
+    listed = _STAGED.get()
+    if listed is not None:
+        listed.append(path)
+    return path
+
+
 def stage(df: DataFrame, label: str, group_bytes: int | None = None) -> DataFrame:
     """Write ``df`` once to the workspace and read it back.
 
@@ -91,10 +100,7 @@ def stage(df: DataFrame, label: str, group_bytes: int | None = None) -> DataFram
     size of row groups, beneath which no file is cut among tasks.
     """
     spark = df.sparkSession
-    path = fresh_path(spark, label)
-    listed = _STAGED.get()
-    if listed is not None:
-        listed.append(path)
+    path = temporary_path(spark, label)
     writer = df.write if group_bytes is None else df.write.option("parquet.block.size", group_bytes)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -102,7 +108,8 @@ def stage(df: DataFrame, label: str, group_bytes: int | None = None) -> DataFram
 
 @contextmanager
 def temporary_tables(spark: SparkSession) -> Iterator[None]:
-    """Remove what ``stage`` writes within the block, in this thread, once the block has ended.
+    """Remove what ``stage`` writes within the block, in this thread, once the block has ended,
+    and what lies at its ``temporary_path``s.
 
     Nothing made in the block that still reads a staged table can be used afterwards. After
     an error the tables stay, as do those staged outside of any block.
