@@ -1,362 +1,20 @@
-"""Gradient-boosted regression trees, grown from binned rows, as MLlib's own model.
-
-MLlib keeps each training row with one 32-bit number per slot of its vector. Here a row is one
-byte per slot that is seldom at zero, one number per other slot that is not, and its residual.
-"""
+"""Gradient-boosted regression trees, grown from binned rows, as MLlib's own model."""
 
 from __future__ import annotations
 
-import json
-import time
-from collections.abc import Iterator
-from contextlib import contextmanager
-from dataclasses import dataclass, field
-
 import numpy as np
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starledger.session import GROUP_BYTES, stage, temporary_path, temporary_tables
+from starledger.plans.binned import BATCH_BLOCKS, BINS, TASKS_PER_CORE, Binning, Splitter, Tree, arrow_batches, as_model, binned_blocks, find_binning, leaf_sums, leaf_values, level_histograms, reader, require, router, settle, staged_blocks, steps
+from starledger.session import GROUP_BYTES, stage, temporary_tables
+
+__all__ = ["binned_blocks", "find_binning", "fit_boosted"]
 
-#: As MLlib: bins of a slot, and the expected number of rows that its thresholds are found on.
-BINS, THRESHOLD_ROWS = 32, 10_000
 #: Residuals are kept in the executors' memory, or their disks where that is full, from round
 #: to round; after this many rounds they are written, which cuts their lineage.
 ROUNDS_KEPT = 10
-#: Rows of a block, and of the batches it is gathered from: Spark measures a batch anew for each
-#: row of it, which takes long for large batches of vectors.
-BLOCK_ROWS, BATCH_ROWS = 10_000, 1_000
-#: Blocks of rows that a worker takes at a time, and tasks of a pass per core. A pass streams
-#: its rows, so that its tasks may be large; the driver gets one histogram from each.
-BATCH_BLOCKS, TASKS_PER_CORE = 64, 2
-#: A slot is kept as a column where more than this share of the rows is not in the bin of zero.
-COLUMN_SHARE = 1 / 4
-#: Share of a node's mean square that rounding may leave as a gain.
-NOISE = 1e-12
-
-
-@dataclass(frozen=True)
-class Binning:
-    """Ascending thresholds of every slot, and how binned rows are stored.
-
-    The bin of a value is the number of thresholds beneath it. ``columns`` are slots stored
-    for every row; all others are loose: bin b of such a slot has the code ``base`` + b, and
-    is stored where it is not the bin of zero. Code 0 stands for no entry.
-    """
-
-    thresholds: list[np.ndarray]
-    columns: list[int]
-    zero: np.ndarray
-    base: np.ndarray
-    codes: int
-
-
-@dataclass
-class Tree:
-    """A tree by heap place (root 1, children 2p and 2p + 1)."""
-
-    depth: int
-    split: dict[int, tuple[int, int]] = field(default_factory=dict)  # slot, last bin to the left
-    stats: dict[int, tuple[float, float, float]] = field(default_factory=dict)  # rows, sum, squares
-    gain: dict[int, float] = field(default_factory=dict)
-
-    def prediction(self, place: int) -> float:
-        rows, total, _ = self.stats[place]
-        return total / rows
-
-
-def slot_thresholds(values: np.ndarray, counts: np.ndarray, bins: int = BINS) -> np.ndarray:
-    """MLlib's thresholds of a slot from its ascending distinct values and their counts: all
-    midpoints where there are fewer than ``bins``, else those nearest to even shares."""
-    if len(values) <= bins:
-        return (values[1:] + values[:-1]) / 2
-    stride = counts.sum() / bins
-    out, seen, target = [], float(counts[0]), stride
-    for i in range(1, len(values)):
-        before, seen = seen, seen + counts[i]
-        if abs(before - target) < abs(seen - target):
-            out.append((values[i - 1] + values[i]) / 2)
-            target += stride
-    return np.array(out)
-
-
-def find_binning(train: DataFrame, features: str, rows: int, seed: int) -> Binning:
-    """Thresholds from about ``THRESHOLD_ROWS`` rows, as MLlib finds them; all rows are then
-    binned by them. Slots that the vector's metadata calls binary are cut between 0 and 1."""
-    few = train if rows <= THRESHOLD_ROWS else train.sample(THRESHOLD_ROWS / rows, seed)
-    vectors = [r[0] for r in few.select(features).collect()] or [train.select(features).first()[0]]
-    size = len(vectors[0])
-    attrs = train.schema[features].metadata.get("ml_attr", {}).get("attrs", {})
-    if attrs.get("nominal"):
-        raise ValueError("slots of more than two categories are not handled")
-    binary = {a["idx"] for a in attrs.get("binary", [])}
-    found: list[list[float]] = [[] for _ in range(size)]
-    for v in vectors:
-        pairs = zip(v.indices, v.values, strict=True) if hasattr(v, "indices") else enumerate(v.values)
-        for slot, value in pairs:
-            if value:
-                found[slot].append(value)
-    thresholds, columns, base, codes = [], [], np.zeros(size, np.int64), 1
-    zero = np.zeros(size, np.int64)
-    for slot, own in enumerate(found):
-        every = np.concatenate([own, np.zeros(len(vectors) - len(own))])
-        cuts = np.array([0.5]) if slot in binary else slot_thresholds(*np.unique(every, return_counts=True))
-        thresholds.append(cuts)
-        zero[slot] = np.searchsorted(cuts, 0.0)
-        if not len(cuts):
-            continue
-        if (np.searchsorted(cuts, every) != zero[slot]).mean() > COLUMN_SHARE:
-            columns.append(slot)
-        else:
-            base[slot] = codes
-            codes += len(cuts) + 1
-    return Binning(thresholds, columns, zero, base, codes)
-
-
-def binned_blocks(train: DataFrame, b: Binning, features: str, label: str) -> DataFrame:
-    """(rows, residual, columns, loose): a block of rows as arrays, the label as first residual."""
-    thresholds, columns, zero, base = b.thresholds, b.columns, b.zero, b.base
-    size, kind, most = len(thresholds), "<u2" if b.codes < 1 << 16 else "<u4", BLOCK_ROWS
-
-    # Nested, so that workers need numpy and pyarrow but not this package.
-    def run(batches):
-        import numpy as np
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        def gathered():
-            held = []
-            for batch in batches:
-                held.append(batch)
-                if sum(x.num_rows for x in held) >= most:
-                    yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-                    held = []
-            if held:
-                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-
-        for batch in gathered():
-            n = batch.num_rows
-            if not n:
-                continue
-            kinds, _, indices, values = batch.column(0).flatten()
-            lengths = pc.list_value_length(values).to_numpy(zero_copy_only=False).astype(np.int64)
-            value = values.flatten().to_numpy(zero_copy_only=False)
-            row = np.repeat(np.arange(n), lengths)
-            slot = np.arange(len(value)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            slot[np.repeat(kinds.to_numpy(zero_copy_only=False) == 0, lengths)] = indices.flatten().to_numpy(zero_copy_only=False)
-            order = np.argsort(slot, kind="stable")
-            row, slot, value = row[order], slot[order], value[order]
-            ends = np.searchsorted(slot, np.arange(size + 1))
-            held = np.empty((len(columns), n), np.uint8)
-            for i, f in enumerate(columns):
-                own = slice(ends[f], ends[f + 1])
-                held[i] = zero[f]
-                held[i, row[own]] = np.searchsorted(thresholds[f], value[own])
-            rows, codes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for f in np.flatnonzero((base > 0) & (ends[1:] > ends[:-1])):
-                own = slice(ends[f], ends[f + 1])
-                bins = np.searchsorted(thresholds[f], value[own])
-                far = bins != zero[f]
-                rows.append(row[own][far])
-                codes.append(base[f] + bins[far])
-            rows, codes = np.concatenate(rows), np.concatenate(codes)
-            order = np.argsort(rows, kind="stable")
-            rows, codes = rows[order], codes[order]
-            each = np.bincount(rows, minlength=n)
-            loose = np.zeros((each.max(), n), kind)
-            loose[np.arange(len(rows)) - np.repeat(np.cumsum(each) - each, each), rows] = codes
-            label = batch.column(1).to_numpy(zero_copy_only=False).astype("<f8")
-            yield pa.RecordBatch.from_pydict(
-                {"rows": pa.array([n], pa.int32()), **{k: pa.array([v.tobytes()], pa.binary()) for k, v in (("residual", label), ("columns", held), ("loose", loose))}}
-            )
-
-    rows = train.select(F.unwrap_udt(features).alias("features"), F.col(label).cast("double").alias("label"))
-    return rows.mapInArrow(run, "rows int, residual binary, columns binary, loose binary")
-
-
-def _steps(tree: Tree, b: Binning) -> list[list[tuple[int, int, int, int, bool]]]:
-    """Per level, the splits as (place in the level, column or -1, least, most, turned): a row
-    goes right where its bin, or any of its codes, is in [least, most], or if turned where not."""
-    levels: list[list] = [[] for _ in range(tree.depth)]
-    for place, (slot, last) in sorted(tree.split.items()):
-        level = place.bit_length() - 1
-        if slot in b.columns:
-            step = (b.columns.index(slot), last + 1, BINS, False)
-        elif b.zero[slot] <= last:
-            step = (-1, int(b.base[slot]) + last + 1, int(b.base[slot]) + len(b.thresholds[slot]), False)
-        else:
-            step = (-1, int(b.base[slot]), int(b.base[slot]) + last, True)
-        levels[level].append((place - (1 << level), *step))
-    return levels
-
-
-def _leaf_values(tree: Tree) -> np.ndarray:
-    """The prediction per place of the deepest level; rows of a leaf above it go left."""
-    out = np.zeros(1 << tree.depth)
-    for place in tree.stats:
-        if place not in tree.split:
-            out[(place << (tree.depth - place.bit_length() + 1)) - (1 << tree.depth)] = tree.prediction(place)
-    return out
-
-
-def _reader(b: Binning):
-    """A function for workers: (residual, columns, loose) of a block, and one that places its
-    rows in a tree given by ``_steps``."""
-    width, kind = len(b.columns), "<u2" if b.codes < 1 << 16 else "<u4"
-
-    def read(batch, i):
-        import numpy as np
-
-        n = batch.column(0)[i].as_py()
-        residual, held, loose = (np.frombuffer(batch.column(k)[i].as_buffer(), t) for k, t in ((1, "<f8"), (2, np.uint8), (3, kind)))
-        held, loose = held.reshape(width, n), loose.reshape(-1, n)
-
-        def placed(levels):
-            at = np.zeros(n, np.uint16)
-            for level in levels:
-                right = np.zeros(n, bool)
-                for place, column, least, most, turned in level:
-                    if column >= 0:
-                        goes = held[column] >= least
-                    else:
-                        goes = np.zeros(n, bool)
-                        for codes in loose:
-                            goes |= (codes >= least) & (codes <= most)
-                        if turned:
-                            goes = ~goes
-                    right |= goes & (at == place)
-                at = at * 2 + right
-            return at
-
-        return residual, held, loose, placed
-
-    return read
-
-
-def _histograms(blocks: DataFrame, b: Binning, tree: Tree, level: int, scale: float, squares: bool):
-    """Per node of ``level`` of the growing tree: (rows, sum[, squares]) of the target, in all,
-    by column and bin, and by loose code. The target is ``scale`` times the residual."""
-    read, nodes, width, codes, bins = _reader(b), 1 << level, len(b.columns), b.codes, BINS
-    steps = _steps(tree, b)[:level]
-    measures = 3 if squares else 2
-    length = nodes * (1 + width * bins + codes)
-
-    def run(batches):
-        import numpy as np
-        import pyarrow as pa
-
-        total, square = np.zeros((measures, length)), np.zeros(nodes)
-        for batch in batches:
-            for i in range(batch.num_rows):
-                residual, held, loose, placed = read(batch, i)
-                target = scale * residual
-                at = placed(steps).astype(np.int64)
-                keys = [(at, nodes)] + [(at * bins + c, nodes * bins) for c in held]
-                spread = np.zeros((measures, nodes * codes))
-                weights = [None, target, target * target][:measures]
-                square += np.bincount(at, target * target, nodes)
-                for m, w in enumerate(weights):
-                    own = [np.bincount(k, w, size) for k, size in keys]
-                    for c in loose:
-                        spread[m] += np.bincount(at * codes + c, w, nodes * codes)
-                    total[m] += np.concatenate([*own, spread[m]])
-        yield pa.RecordBatch.from_pydict({"v": pa.array([np.concatenate([square, total.ravel()]).tobytes()], pa.binary())})
-
-    summed = np.zeros(nodes + measures * length)
-    for r in blocks.mapInArrow(run, "v binary").collect():  # one per task
-        summed += np.frombuffer(r[0], np.float64)
-    square, rest = summed[:nodes], summed[nodes:].reshape(measures, length)
-    whole = rest[:, :nodes]
-    held = rest[:, nodes : nodes + nodes * width * bins].reshape(measures, width, nodes, bins)
-    return whole, square, held, rest[:, nodes * (1 + width * bins) :].reshape(measures, nodes, codes)
-
-
-def _grow_level(tree: Tree, b: Binning, level: int, found) -> None:
-    """Split each node of ``level`` where MLlib would: at the greatest gain in variance."""
-    whole, square, held, loose = found
-    for place in range(1 << level):
-        heap = place + (1 << level)
-        if level and heap // 2 not in tree.split:
-            continue
-        n, s, q = (float(v[place]) for v in (*whole[:2], square))
-        tree.stats[heap] = (n, s, q)
-        best, at = NOISE * q / n, None
-        for slot, cuts in enumerate(b.thresholds):
-            if not len(cuts):
-                continue
-            if slot in b.columns:
-                own = held[:, b.columns.index(slot), place]
-            else:
-                own = loose[:, place, b.base[slot] : b.base[slot] + len(cuts) + 1].copy()
-                own[:, b.zero[slot]] += whole[:, place] - own.sum(axis=1)
-            left = own[:, : len(cuts)].cumsum(axis=1)
-            right_n, right_s = n - left[0], s - left[1]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                gain = (left[1] ** 2 / left[0] + right_s**2 / right_n - s * s / n) / n
-            gain[(left[0] < 0.5) | (right_n < 0.5)] = -1.0
-            k = int(gain.argmax())
-            if gain[k] > best:
-                best, at = float(gain[k]), (slot, k, left[:, k].tolist())
-        if at is None:
-            continue
-        tree.split[heap], tree.gain[heap] = at[:2], best
-        if level + 1 == tree.depth:
-            tree.stats[2 * heap] = tuple(at[2])
-            tree.stats[2 * heap + 1] = tuple(a - l for a, l in zip((n, s, q), at[2], strict=True))
-
-
-def _node_rows(tree: Tree, number: int, b: Binning) -> list[tuple]:
-    """The tree as MLlib saves it: nodes numbered from the root, left before right."""
-    rows: list = []
-
-    def add(place: int) -> int:
-        own = len(rows)
-        rows.append(None)
-        n, s, q = tree.stats[place]
-        children, gain, split = (-1, -1), -1.0, (-1, [], -1)
-        if place in tree.split:
-            slot, last = tree.split[place]
-            children, gain = (add(2 * place), add(2 * place + 1)), tree.gain[place]
-            split = (slot, [float(b.thresholds[slot][last])], -1)
-        impurity = max(0.0, q / n - (s / n) ** 2)
-        rows[own] = (number, (own, s / n, impurity, [n, s, q], round(n), gain, *children, split))
-        return own
-
-    add(1)
-    return rows
-
-
-def as_model(spark: SparkSession, estimator: GBTRegressor, trees: list[Tree], weights: list[float], b: Binning) -> GBTRegressionModel:
-    """MLlib's model of these trees, read from files in its own saved form."""
-
-    def metadata(kind: str, uid: str, names: set[str] | None = None, **more) -> str:
-        params = [{p.name: v for p, v in m.items() if names is None or p.name in names} for m in (estimator._paramMap, estimator._defaultParamMap)]
-        own = {"class": f"org.apache.spark.ml.regression.{kind}", "timestamp": int(time.time() * 1000), "sparkVersion": spark.version, "uid": uid}
-        return json.dumps({**own, "paramMap": params[0], "defaultParamMap": params[1], **more})
-
-    path = temporary_path(spark, "grown")
-    nodes = [row for i, tree in enumerate(trees) for row in _node_rows(tree, i, b)]
-    split = "struct<featureIndex: int, leftCategoriesOrThreshold: array<double>, numCategories: int>"
-    node = f"struct<id: int, prediction: double, impurity: double, impurityStats: array<double>, rawCount: bigint, gain: double, leftChild: int, rightChild: int, split: {split}>"
-    spark.createDataFrame(nodes, f"treeID int, nodeData {node}").coalesce(1).write.parquet(f"{path}/data")
-    single = {"featuresCol", "labelCol", "predictionCol", "maxDepth", "maxBins", "seed", "impurity", "minInstancesPerNode", "minInfoGain"}
-    about = [(i, metadata("DecisionTreeRegressionModel", f"dtr_{estimator.uid}_{i}", single), w) for i, w in enumerate(weights)]
-    spark.createDataFrame(about, "_1 int, _2 string, _3 double").coalesce(1).write.parquet(f"{path}/treesMetadata")
-    whole = metadata("GBTRegressionModel", estimator.uid, numFeatures=len(b.thresholds), numTrees=len(trees))
-    spark.createDataFrame([(whole,)], "value string").coalesce(1).write.text(f"{path}/metadata")
-    return GBTRegressionModel.load(path)
-
-
-@contextmanager
-def _batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
 
 
 def fit_boosted(train: DataFrame, estimator: GBTRegressor) -> GBTRegressionModel:
@@ -368,52 +26,73 @@ def fit_boosted(train: DataFrame, estimator: GBTRegressor) -> GBTRegressionModel
     size depends on slots, bins and nodes, and their number on the cores, not on the rows.
     """
     spark, value = train.sparkSession, estimator.getOrDefault
-    own = {"lossType": "squared", "subsamplingRate": 1.0, "featureSubsetStrategy": "all", "maxBins": BINS, "minInstancesPerNode": 1, "minInfoGain": 0.0}
-    if other := {k: value(k) for k, v in own.items() if value(k) != v}:
-        raise ValueError(f"not handled: {other}")
+    require(estimator, {"lossType": "squared", "subsamplingRate": 1.0, "featureSubsetStrategy": "all", "maxBins": BINS, "minInstancesPerNode": 1, "minInfoGain": 0.0})
     features, label, depth, step = value("featuresCol"), value("labelCol"), value("maxDepth"), value("stepSize")
     with temporary_tables(spark):
         rows = train.count()
         if not rows:
             raise ValueError("no rows to fit")
         b = find_binning(train, features, rows, value("seed"))
-        tasks = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
-        with _batches_of(spark, BATCH_ROWS):
-            blocks = stage(binned_blocks(train, b, features, label), "blocks", GROUP_BYTES).coalesce(tasks)
+        splitter = Splitter(b)
+        blocks = staged_blocks(train, b, features, label).withColumn("sums", F.lit(None).cast("binary"))
         blocks.persist()
         trees: list[Tree] = []
-        with _batches_of(spark, BATCH_BLOCKS):
+        with arrow_batches(spark, BATCH_BLOCKS):
             for m in range(value("maxIter")):
-                tree, spent = Tree(depth), None
+                tree, spent, scale = Tree(depth), None, 2.0 if m else 1.0
                 if m:
-                    spent, blocks = blocks, _lessened(blocks, b, trees[-1], step if m > 1 else 1.0)
+                    spent, blocks = blocks, _lessened(blocks, b, trees[-1], 2.0 if m > 1 else 1.0, step if m > 1 else 1.0)
                     if m % ROUNDS_KEPT == 0:
-                        blocks = stage(blocks, "blocks", GROUP_BYTES).coalesce(tasks)
+                        blocks = stage(blocks, "blocks", GROUP_BYTES).coalesce(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
                     blocks.persist()
                 for level in range(depth):
-                    if level and not any(p.bit_length() == level for p in tree.split):
+                    if not tree.counted(level):
                         break
-                    found = _histograms(blocks, b, tree, level, 2.0 if m else 1.0, level + 1 == depth)
-                    _grow_level(tree, b, level, found)
+                    squares, counted = level_histograms(blocks, b, {0: tree}, level, scale)[0]
+                    splitter.grow(tree, level, squares, counted)
                     if spent is not None and not level:
+                        settle(trees[-1], _sums(blocks), whole=False)
                         spent.unpersist()
                 trees.append(tree)
+            settle(trees[-1], leaf_sums(blocks, b, {0: trees[-1]}, scale)[0], whole=False)
         blocks.unpersist()
-        return as_model(spark, estimator, trees, [step if i else 1.0 for i in range(len(trees))], b)
+        return as_model(spark, GBTRegressionModel, estimator, trees, [step if i else 1.0 for i in range(len(trees))], b)
 
 
-def _lessened(blocks: DataFrame, b: Binning, tree: Tree, weight: float) -> DataFrame:
-    """The blocks with what the tree leaves of the residuals."""
-    read, steps, leaves = _reader(b), _steps(tree, b), weight * _leaf_values(tree)
+def _sums(blocks: DataFrame) -> np.ndarray:
+    """(3, places): what ``_lessened`` has added up, of all blocks."""
 
     def run(batches):
+        import numpy as np
         import pyarrow as pa
 
+        found = [np.frombuffer(v.as_buffer(), np.float64) for batch in batches for v in batch.column(0)]
+        if found:
+            yield pa.RecordBatch.from_pydict({"sums": pa.array([np.sum(found, axis=0).tobytes()], pa.binary())})
+
+    return sum(np.frombuffer(r[0], np.float64) for r in blocks.select("sums").mapInArrow(run, "sums binary").collect()).reshape(3, -1)
+
+
+def _lessened(blocks: DataFrame, b: Binning, tree: Tree, scale: float, weight: float) -> DataFrame:
+    """The blocks with what the tree leaves of the residuals, and in ``sums`` the rows, sum and
+    squares of its target per place of its deepest level."""
+    read, (prepared, place), levels = reader(b), router(b), steps(tree, b, tree.depth)
+    leaves, places = weight * leaf_values(tree), 1 << tree.depth
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        route = prepared(levels)
         for batch in batches:
-            out = []
+            left, sums = [], []
             for i in range(batch.num_rows):
-                residual, _, _, placed = read(batch, i)
-                out.append((residual - leaves.take(placed(steps))).tobytes())
-            yield batch.set_column(1, "residual", pa.array(out, pa.binary()))
+                _, residual, held, loose = read(batch, i)
+                at = place(held, loose, route, None)
+                target = scale * residual
+                sums.append(np.concatenate([np.bincount(at, w, places) for w in (None, target, target * target)]).tobytes())
+                left.append((residual - leaves.take(at)).tobytes())
+            batch = batch.set_column(1, "residual", pa.array(left, pa.binary()))
+            yield batch.set_column(batch.schema.get_field_index("sums"), "sums", pa.array(sums, pa.binary()))
 
     return blocks.mapInArrow(run, blocks.schema)

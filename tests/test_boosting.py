@@ -8,7 +8,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
-from starledger.plans import boosting, training
+from starledger.plans import binned, boosting, training
 from starledger.session import workspace
 
 
@@ -59,3 +59,15 @@ def test_constant_label_and_no_rows(rows):
     assert {t.numNodes for t in fitted(flat, maxIter=2, maxDepth=3)[0].trees} == {1}
     with pytest.raises(ValueError):
         boosting.fit_boosted(rows.limit(0), GBTRegressor())
+
+
+def test_no_pass_counts_more_than_half_of_the_rows(rows):
+    """Beneath the root only the lesser of two children is added up; the other is what is left."""
+    b = boosting.find_binning(rows, "features", 3000, 42)
+    splitter, tree, blocks = binned.Splitter(b), binned.Tree(3), binned.staged_blocks(rows, b, "features", "label")
+    for level in range(3):
+        squares, counted = binned.level_histograms(blocks, b, {0: tree}, level)[0]
+        assert counted[0, :, 0].sum() <= 3000 / (2 if level else 1)
+        splitter.grow(tree, level, squares, counted)
+        assert sum(v[0, 0] for v in tree.held.values()) == 3000
+    assert len(tree.held) == 4
