@@ -513,7 +513,7 @@ def _mean_keeper(name: str):
 
 def reg_forest(spark: SparkSession, d: str) -> DataFrame:
     """Test rows, and whether each prediction lies within the ratings of the training rows."""
-    name = "Random Forest Regressor"
+    name = training.FOREST
     train, test = Shared(spark, d).split()
     least, most = train.agg(F.min("label"), F.max("label")).first()
     checked = _checked(training.predictions_of(Shared(spark, d).trained(name).model, test, name))
