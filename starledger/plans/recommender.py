@@ -100,28 +100,38 @@ def optimality(
     not negative for each zero one. ``gap`` is the worst breach of that, as a share of the sum
     of the absolute terms of g; ``optimal`` tells whether it is within ``tolerance``.
 
-    One aggregate per user over the ratings, combined before the shuffle; ratings meet the
-    factors by lookup joins, so hot users and items are sliced.
+    Ratings meet the item factors first, while they are narrow, then those of the users, so that
+    a user's ratings are together when they are added up: the largest shuffle carries one factor
+    per rating, in single precision as ALS has it, and the sums are one row per user and slice.
+    Hot users and items are sliced.
     """
-    rank = recommender.model.rank
+    rank, wide = recommender.model.rank, recommender.users is not None
     factors = {
-        side: own.select(F.col("id").alias(f"{side}_number"), F.transform("features", lambda v: v.cast("double")).alias(name))
+        side: stage(own.select(F.col("id").alias(f"{side}_number"), F.col("features").alias(name)), f"{side}-factors")
         for side, own, name in (("user", recommender.model.userFactors, "x"), ("item", recommender.model.itemFactors, "y"))
     }
-    rated = recommender.numbered(train.select("user_id", "item_id", F.col("rating").cast("float").cast("double").alias("rating")))
-    for side in ("user", "item"):
-        rated = lookup_join(rated, stage(factors[side], f"{side}-factors"), f"{side}_number")
-    dot = F.aggregate(F.zip_with("x", "y", lambda a, b: a * b), F.lit(0.0), lambda t, v: t + v)
-    rated = rated.withColumn("error", dot - F.col("rating"))
-    y = [F.col("y")[k] for k in range(rank)]
+    keys = ["user_number", "user_id"] if wide else ["user_number"]
+    rated = recommender.numbered(train.select("user_id", "item_id", F.col("rating").cast("float").alias("rating")))
+    rated = rated.select(*keys, "item_number", "rating")
+    # Every trained item has a factor, so that this join loses no rating.
+    counts = rated.groupBy("user_number").agg(F.count(F.lit(1)).alias("n"))
+    rated = lookup_join(rated, factors["item"], "item_number").drop("item_number")
+    rated = lookup_join(rated, factors["user"], "user_number", key_counts=counts)
+    x, y = ([F.col(name)[k].cast("double") for k in range(rank)] for name in "xy")
+    rating = F.col("rating").cast("double")
+    dot = sum((a * b for a, b in zip(x, y, strict=True)), F.lit(0.0))
+    rated = rated.withColumns({"dot": dot, "error": dot - rating})
     sums = [F.sum(F.col("error") * y[k]).alias(f"g{k}") for k in range(rank)]
-    terms = [F.sum(F.abs(y[k]) * (F.abs("rating") + F.abs(dot))).alias(f"t{k}") for k in range(rank)]
-    # A user's factor is the same in all its rows.
-    users = rated.groupBy("user_id").agg(F.count(F.lit(1)).alias("ratings"), F.max("x").alias("x"), *sums, *terms)
+    terms = [F.sum(F.abs(y[k]) * (F.abs(rating) + F.abs("dot"))).alias(f"t{k}") for k in range(rank)]
+    # A user's factor is the same in all its rows; numbers, unlike an array, are kept in a hash aggregate.
+    own = [F.max(x[k]).alias(f"x{k}") for k in range(rank)]
+    users = rated.groupBy(*keys).agg(F.count(F.lit(1)).alias("ratings"), *own, *sums, *terms)
+    if not wide:
+        users = users.withColumnRenamed("user_number", "user_id")
     weight = F.lit(float(settings["regParam"])) * F.col("ratings")
     breaches = []
     for k in range(rank):
-        x = F.col("x")[k]
+        x = F.col(f"x{k}")
         g = F.col(f"g{k}") + weight * x
         breach = F.when(x > 0, F.abs(g)).otherwise(F.greatest(-g, F.lit(0.0)))
         breaches.append(F.coalesce(F.try_divide(breach, F.col(f"t{k}") + weight * x), F.lit(0.0)))

@@ -34,6 +34,9 @@ PUBLISHED_PREDICTIONS = 5_000
 #: Tasks of ALS on either side. Factors start at random per block, so another number of
 #: blocks gives another model; it follows from nothing but this setting.
 ALS_BLOCKS = 10
+#: Rounds after which ALS checkpoints its factors. It then drops the messages of the rounds before,
+#: which else lie on the executors' disks for as long as the model is used.
+ALS_CHECKPOINT = 3
 
 # The models compared, and their settings.
 REGRESSORS: dict[str, tuple[type[Estimator], dict[str, object]]] = {
@@ -64,12 +67,13 @@ def fit_als(
 
     ALS runs one task per block: raise ``blocks`` for more ratings, and keep it to get the
     same model again. The workspace gives ALS a checkpoint folder, where it cuts its
-    lineage every ten iterations.
+    lineage every third round.
     """
     workspace(train.sparkSession)
     als = ALS(
         numUserBlocks=blocks,
         numItemBlocks=blocks,
+        checkpointInterval=ALS_CHECKPOINT,
         userCol="user_id",
         itemCol="item_id",
         ratingCol="rating",

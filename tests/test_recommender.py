@@ -76,3 +76,32 @@ def test_hot_ids_are_sliced_when_tables_are_large(spark, pairs, monkeypatch):
     model = fit_recommender(_wide(hot))
     checked = optimality(model, _wide(hot)).collect()
     assert len(checked) == 21 and all(r.optimal for r in checked)
+
+
+def test_audit_shuffles_ratings_twice_and_its_sums_not_at_all(spark, pairs, monkeypatch):
+    """Large tables without hot ids: ratings and factors by item, then by user, and no more."""
+    monkeypatch.setattr(joins.fits_broadcast, "__defaults__", (0, 0))
+    model = fit_recommender(pairs)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        checked = optimality(model, pairs)
+        plan = checked._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 4 and "array<double>" not in plan
+        rows = checked.collect()
+    finally:
+        spark.conf.set(key, before)
+    assert len(rows) == 60 and all(r.optimal for r in rows)
+
+
+def test_fit_drops_the_messages_of_its_rounds(spark, pairs, monkeypatch):
+    """The model still reads the messages since the last checkpoint, not those of ten rounds."""
+
+    def shuffles():
+        lineage = training.fit_als(pairs)._java_obj.userFactors().rdd().toDebugString()
+        return lineage.count("ShuffledRDD")
+
+    own = shuffles()
+    monkeypatch.setattr(training, "ALS_CHECKPOINT", 10)
+    assert own <= 8 and shuffles() >= 2 * own
